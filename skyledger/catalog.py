@@ -117,15 +117,12 @@ def t3_least_flown(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _per_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flights_per_tail(
+def _stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per_tail = flights_per_tail(
         derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
     )
-
-
-def _stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "country-rollup")
-    layouts.write_country_rollup(_per_tail(spark, sf_dir), path)
+    layouts.write_country_rollup(per_tail, path)
     return layouts.read_country_rollup(spark, path)
 
 
@@ -181,10 +178,10 @@ def layout_country_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_file_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_tail = _per_tail(spark, sf_dir)
+    rollup = _stored_rollup(spark, sf_dir)
     path = scratch_path(spark, "country-rollup-capped")
-    cap = layouts.capped_rows_per_file(per_tail.count())
-    layouts.write_country_rollup(per_tail, path, max_records_per_file=cap)
+    cap = layouts.capped_rows_per_file(rollup.count())
+    layouts.write_country_rollup(rollup, path, max_records_per_file=cap)
     files = rows_per(
         layouts.read_country_rollup(spark, path).select(
             F.input_file_name().alias("file")
@@ -204,7 +201,7 @@ def flights_by_year_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rollup_by_country_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exploration.rollup_by_country_carrier(_per_tail(spark, sf_dir))
+    return exploration.rollup_by_country_carrier(_stored_rollup(spark, sf_dir))
 
 
 def flights_in_year_total(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,13 @@
 from skyledger.functions.dates import in_year, in_year_text
 from skyledger.functions.models import model_code
-from skyledger.functions.times import (
-    delay_minutes,
-    delay_seconds,
-    flown,
-    raw_delay_minutes,
-    seconds_of_day,
-)
+from skyledger.functions.times import departure_gap, flown, seconds_of_day, wrap_gap
 
 __all__ = [
-    "delay_minutes",
-    "delay_seconds",
+    "departure_gap",
     "flown",
     "in_year",
     "in_year_text",
     "model_code",
-    "raw_delay_minutes",
     "seconds_of_day",
+    "wrap_gap",
 ]

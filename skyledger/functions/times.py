@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The source format HH:mm:ss, in which midnight may be 24:00:00, and
 # the gap above which two times of day are taken to lie on different days.
-TIME_PATTERN = r"^(?:(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d|24:00:00)$"
+TIME_PATTERN = r"^(?:(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d|24:00:00)\z"
 DAY_SECONDS = 24 * 60 * 60
 WRAP_SECONDS = 12 * 60 * 60
 
@@ -23,10 +23,13 @@ def seconds_of_day(time: Column) -> Column:
     return F.when(time.rlike(TIME_PATTERN), total % DAY_SECONDS)
 
 
-def delay_seconds(
-    scheduled: Column, actual: Column, early_wrap: str = "signed"
-) -> Column:
-    """Departure delay in seconds, wrapped when the gap is above twelve hours.
+def departure_gap(scheduled: Column, actual: Column) -> Column:
+    """Actual minus scheduled time of day in seconds, midnight ignored."""
+    return seconds_of_day(actual) - seconds_of_day(scheduled)
+
+
+def wrap_gap(gap: Column, early_wrap: str = "signed") -> Column:
+    """The delay a departure gap stands for, wrapped when above twelve hours.
 
     A late flight that left after midnight gets a day added. One that left before
     midnight although due after it is early: ``signed`` gives it a negative delay,
@@ -34,7 +37,6 @@ def delay_seconds(
     """
     if early_wrap not in EARLY_WRAPS:
         raise ValueError(f"early_wrap must be one of {EARLY_WRAPS}, got {early_wrap!r}")
-    gap = seconds_of_day(actual) - seconds_of_day(scheduled)
     early = gap - DAY_SECONDS if early_wrap == "signed" else DAY_SECONDS - gap
     return (
         F.when(gap > WRAP_SECONDS, early)
@@ -43,17 +45,6 @@ def delay_seconds(
     )
 
 
-def delay_minutes(
-    scheduled: Column, actual: Column, early_wrap: str = "signed"
-) -> Column:
-    return delay_seconds(scheduled, actual, early_wrap) / F.lit(60.0)
-
-
-def raw_delay_minutes(scheduled: Column, actual: Column) -> Column:
-    """The difference of the two times of day in minutes, midnight ignored."""
-    return (seconds_of_day(actual) - seconds_of_day(scheduled)) / F.lit(60.0)
-
-
 def flown(actual_departure: Column) -> Column:
     """A flight with no actual departure time was cancelled."""
     return actual_departure.isNotNull()

@@ -18,12 +18,11 @@ COLUMN_BYTES = 16
 def measured_bytes(df: DataFrame) -> int:
     """In-memory size of ``df``, from one aggregate that returns a single row."""
     fixed = ROW_OVERHEAD_BYTES + COLUMN_BYTES * len(df.columns)
-    row = F.lit(fixed).cast("long")
-    for field in df.schema:
-        if isinstance(field.dataType, T.StringType):
-            row = row + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-    total = df.agg(F.sum(row).alias("bytes")).first()["bytes"]
-    return total or 0
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    row = " + ".join(
+        [f"{fixed}L", *(f"coalesce(octet_length(`{name}`), 0)" for name in texts)]
+    )
+    return df.selectExpr(f"coalesce(sum({row}), 0L) AS bytes").first()["bytes"]
 
 
 def fits_broadcast(df: DataFrame) -> bool:

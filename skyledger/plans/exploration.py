@@ -7,14 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions import (
-    flown,
-    in_year,
-    in_year_text,
-    raw_delay_minutes,
-    seconds_of_day,
-)
-from skyledger.operators.joins import broadcast_if_small
+from skyledger.functions import departure_gap, flown, in_year, in_year_text
 from skyledger.operators.profiling import difference, repeated_keys, rows_per
 from skyledger.plans.fleet import (
     flights_per_model,
@@ -52,7 +45,7 @@ def country_model_counts(
     models = aircrafts.select("tailnum", "model")
     return (
         per_tail.filter(F.col("tail_number").isNotNull())
-        .join(broadcast_if_small(models), _same_tail())
+        .join(models, _same_tail())
         .groupBy("model")
         .agg(F.sum("count").alias("numFlights"))
     )
@@ -105,7 +98,7 @@ def fleet_with_unknown(
     per_tail = flights_per_tail(flights, airlines, country=country, flown_only=False)
     models = aircrafts.select("tailnum", "manufacturer", "model")
     return (
-        per_tail.join(broadcast_if_small(models), _same_tail(), "left")
+        per_tail.join(models, _same_tail(), "left")
         .groupBy("manufacturer", "model", "name")
         .agg(F.sum("count").alias("numFlights"))
     )
@@ -153,21 +146,29 @@ def cancelled_flights(flights: DataFrame) -> DataFrame:
     )
 
 
+def _departure_gaps(flights: DataFrame) -> DataFrame:
+    gap = departure_gap(
+        F.col("scheduled_departure_time"), F.col("actual_departure_time")
+    )
+    return flights.filter(flown(F.col("actual_departure_time"))).select(
+        "flight_id", "carrier_code", gap.alias("gap")
+    )
+
+
 def early_departures(flights: DataFrame) -> DataFrame:
     """Per carrier, flights whose time of departure lies before the scheduled one."""
-    actual = seconds_of_day(F.col("actual_departure_time"))
-    scheduled = seconds_of_day(F.col("scheduled_departure_time"))
-    early = flights.filter(flown(F.col("actual_departure_time")))
-    return rows_per(early.filter(actual < scheduled), "carrier_code")
+    early = F.count(F.when(F.col("gap") < 0, 1)).alias("n")
+    per_carrier = _departure_gaps(flights).groupBy("carrier_code").agg(early)
+    return per_carrier.filter(F.col("n") > 0)
 
 
 def extreme_delays(flights: DataFrame, below_minutes: float = -600.0) -> DataFrame:
     """Flights whose delay, midnight ignored, is under ``below_minutes``."""
-    minutes = raw_delay_minutes(
-        F.col("scheduled_departure_time"), F.col("actual_departure_time")
-    )
-    return flights.select("flight_id", minutes.alias("minutes")).filter(
-        F.col("minutes") < below_minutes
+    minutes = (F.col("gap") / F.lit(60.0)).alias("minutes")
+    return (
+        _departure_gaps(flights)
+        .select("flight_id", minutes)
+        .filter(F.col("minutes") < below_minutes)
     )
 
 

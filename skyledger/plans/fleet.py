@@ -22,35 +22,27 @@ def flights_per_tail(
 ) -> DataFrame:
     """Flights per airline and tail number (name, carrier_code, tail_number, country, count).
 
-    The fact is counted per (carrier, tail) before it meets the airlines, so a busy
-    carrier is spread over its tails and never joined row by row. When the airlines
-    wanted are few, a semi-join first drops the flights of all others at the scan.
+    A few airlines are broadcast, which drops the flights of all others at the scan.
+    Otherwise the flights are counted per (carrier, tail) before they meet the airlines,
+    so that a busy carrier is spread over its tails and never joined row by row.
     """
     carriers = airlines.select("carrier_code", "name", "country")
     if country is not None:
         carriers = carriers.filter(F.col("country") == country)
-    small = fits_broadcast(carriers)
-
-    legs = flights
     if flown_only:
-        legs = legs.filter(flown(F.col("actual_departure_time")))
-    legs = legs.select("carrier_code", "tail_number")
-    if small and country is not None:
-        wanted = F.broadcast(carriers.select("carrier_code"))
-        legs = legs.join(wanted, "carrier_code", "left_semi")
+        flights = flights.filter(flown(F.col("actual_departure_time")))
+    legs = flights.select("carrier_code", "tail_number")
+    keys = ["name", "carrier_code", "tail_number", "country"]
 
+    if fits_broadcast(carriers):
+        return rows_per(
+            legs.join(F.broadcast(carriers), "carrier_code"), *keys, alias="count"
+        )
     pairs = rows_per(legs, "carrier_code", "tail_number", alias="legs")
     # An airline row that occurs twice counts its flights twice, as a plain join would.
-    carriers = rows_per(carriers, "carrier_code", "name", "country", alias="copies")
-    return pairs.join(
-        F.broadcast(carriers) if small else carriers, "carrier_code"
-    ).select(
-        "name",
-        "carrier_code",
-        "tail_number",
-        "country",
-        (F.col("legs") * F.col("copies")).alias("count"),
-    )
+    copies = rows_per(carriers, "carrier_code", "name", "country", alias="copies")
+    total = F.col("legs") * F.col("copies")
+    return pairs.join(copies, "carrier_code").select(*keys, total.alias("count"))
 
 
 def flights_with_airline(
@@ -74,9 +66,7 @@ def flights_per_model(per_tail: DataFrame, aircrafts: DataFrame) -> DataFrame:
     known = known_aircrafts(aircrafts)
     return (
         per_tail.filter(F.col("tail_number").isNotNull())
-        .join(
-            broadcast_if_small(known), F.col("tail_number") == F.col("tailnum")
-        )
+        .join(known, F.col("tail_number") == F.col("tailnum"))
         .groupBy("name", "manufacturer", "model")
         .agg(F.sum("count").alias("numFlights"))
     )

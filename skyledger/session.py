@@ -31,6 +31,8 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a hot join key even where that costs one more shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(data_bytes, cores)),
         **(conf or {}),
     }

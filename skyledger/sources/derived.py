@@ -2,109 +2,102 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.sources.schemas import SCHEDULED
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# The columns used of each test table. Given, so that no read opens
+# files only to infer them.
+TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+        " l_shipdate timestamp_ntz"
+    ),
+}
 
 
-def _padded(number: Column, width: int) -> Column:
-    """Zero-padded digits. ``lpad`` alone would cut longer numbers and merge keys."""
-    digits = number.cast("string")
-    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(TABLES[name]).parquet(path)
 
 
-def _code(prefix: str, key: str) -> Column:
-    return F.concat(F.lit(prefix), _padded(F.col(key), 6))
+def _code(prefix: str, key: str) -> str:
+    """Six zero-padded digits. ``lpad`` to 6 would cut longer keys and merge them."""
+    digits = f"string({key})"
+    return f"concat('{prefix}', lpad({digits}, greatest(6, length({digits})), '0'))"
 
 
-def _clock(minutes: Column) -> Column:
-    hour = (minutes / 60).cast("long")
-    return F.concat(
-        _padded(hour, 2), F.lit(":"), _padded(minutes % 60, 2), F.lit(":00")
+def _clock(minutes: str) -> str:
+    return (
+        f"concat(lpad(string({minutes} div 60), 2, '0'), ':',"
+        f" lpad(string({minutes} % 60), 2, '0'), ':00')"
     )
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = _table(spark, sf_dir, "supplier")
     nation = _table(spark, sf_dir, "nation")
-    return supplier.join(
-        nation, supplier.s_nationkey == nation.n_nationkey
-    ).select(
-        _code("C", "s_suppkey").alias("carrier_code"),
-        F.col("s_name").alias("name"),
-        F.col("n_name").alias("country"),
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).selectExpr(
+        f"{_code('C', 's_suppkey')} AS carrier_code",
+        "s_name AS name",
+        "n_name AS country",
     )
 
 
 def aircrafts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    manufacturer = (
-        F.when(key % 29 == 0, F.lit(None))
-        .when(F.col("p_brand").isin("Brand#1", "Brand#2"), F.lit("CESSNA"))
-        .otherwise(F.upper("p_type"))
-    )
-    model = (
-        F.when(key % 31 == 0, F.lit(None))
-        .when(key % 37 == 0, F.lit("SKYLANE"))
-        .otherwise(
-            F.concat(
-                (F.col("p_size") + 100).cast("string"),
-                F.upper(F.substring("p_name", 1, 1)),
-            )
-        )
-    )
-    return _table(spark, sf_dir, "part").select(
-        _code("N", "p_partkey").alias("tailnum"),
-        manufacturer.alias("manufacturer"),
-        model.alias("model"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        f"{_code('N', 'p_partkey')} AS tailnum",
+        """CASE WHEN p_partkey % 29 = 0 THEN NULL
+                WHEN p_brand IN ('Brand#1', 'Brand#2') THEN 'CESSNA'
+                ELSE upper(p_type) END AS manufacturer""",
+        """CASE WHEN p_partkey % 31 = 0 THEN NULL
+                WHEN p_partkey % 37 = 0 THEN 'SKYLANE'
+                ELSE concat(string(100 + p_size), upper(substr(p_name, 1, 1)))
+                END AS model""",
     )
 
 
 def aircraft_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``aircrafts`` with every column of the source file, unknown ones null."""
-    unknown = F.lit(None).cast("string")
-    return aircrafts(spark, sf_dir).select(
+    return aircrafts(spark, sf_dir).selectExpr(
         "tailnum",
-        unknown.alias("type"),
+        "string(NULL) AS type",
         "manufacturer",
-        unknown.alias("issue_date"),
+        "string(NULL) AS issue_date",
         "model",
-        unknown.alias("status"),
-        unknown.alias("aircraft_type"),
-        unknown.alias("engine_type"),
-        unknown.alias("year"),
+        "string(NULL) AS status",
+        "string(NULL) AS aircraft_type",
+        "string(NULL) AS engine_type",
+        "string(NULL) AS year",
     )
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, part, supp, line = (
-        F.col(name) for name in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    )
-    scheduled = (order * 7 + part * 13 + line * 101) % 1441
-    shift = (order + part * 3 + supp * 5) % 200 - 60
-    actual = F.when(part % 97 == 0, (scheduled + 720) % 1440).otherwise(
-        (scheduled + shift + 1440) % 1440
-    )
-    scheduled_text = F.when(scheduled == 1440, F.lit("24:00:00")).otherwise(
-        _clock(scheduled)
-    )
-    actual_text = (
-        F.when((order + line) % 23 == 0, F.lit(None))
-        .when((actual == 0) & (line % 2 == 1), F.lit("24:00:00"))
-        .otherwise(_clock(actual))
-    )
-    return _table(spark, sf_dir, "lineitem").select(
-        (order * 10 + line).alias("flight_id"),
-        _code("C", "l_suppkey").alias("carrier_code"),
-        F.col("l_shipdate").cast("date").alias("flight_date"),
-        F.when(part % 53 == 0, F.lit(None))
-        .otherwise(_code("N", "l_partkey"))
-        .alias("tail_number"),
-        scheduled_text.alias(SCHEDULED),
-        actual_text.alias("actual_departure_time"),
+    return (
+        _table(spark, sf_dir, "lineitem")
+        .selectExpr(
+            "*",
+            "(l_orderkey * 7 + l_partkey * 13 + l_linenumber * 101) % 1441 AS due",
+            "(l_orderkey + l_partkey * 3 + l_suppkey * 5) % 200 - 60 AS shift",
+        )
+        .selectExpr(
+            "*",
+            """CASE WHEN l_partkey % 97 = 0 THEN (due + 720) % 1440
+                    ELSE (due + shift + 1440) % 1440 END AS departed""",
+        )
+        .selectExpr(
+            "l_orderkey * 10 + l_linenumber AS flight_id",
+            f"{_code('C', 'l_suppkey')} AS carrier_code",
+            "date(l_shipdate) AS flight_date",
+            f"""CASE WHEN l_partkey % 53 = 0 THEN NULL
+                     ELSE {_code('N', 'l_partkey')} END AS tail_number""",
+            f"""CASE WHEN due = 1440 THEN '24:00:00'
+                     ELSE {_clock('due')} END AS {SCHEDULED}""",
+            f"""CASE WHEN (l_orderkey + l_linenumber) % 23 = 0 THEN NULL
+                     WHEN departed = 0 AND l_linenumber % 2 = 1 THEN '24:00:00'
+                     ELSE {_clock('departed')} END AS actual_departure_time""",
+        )
     )
