@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import datetime
+
+import pytest
+
+from skyledger.operators.joins import BROADCAST_BYTES_CONF, fits_broadcast, measured_bytes
+from skyledger.operators.profiling import difference, null_counts, repeated_keys
+from skyledger.plans import exploration
+
+DAY = datetime.date(1996, 6, 1)
+
+
+@pytest.fixture
+def flights(spark):
+    return spark.createDataFrame(
+        [
+            (1, "AA", DAY, "N1", "10:00:00", "09:00:00"),
+            (1, "AA", DAY, "N1", "23:00:00", "00:10:00"),
+            (2, "BB", DAY, None, None, "10:00:00"),
+            (3, "BB", None, "N2", "24:00:00", "00:05:00"),
+            (4, "BB", DAY, "N2", "10:00:00", None),
+            (5, "CC", datetime.date(1997, 1, 1), "N2", "bad", "24:00:00"),
+        ],
+        "flight_id long, carrier_code string, flight_date date, tail_number string,"
+        " scheduled_departure_time string, actual_departure_time string",
+    )
+
+
+def tuples(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+def test_flight_profiles(flights):
+    assert tuples(null_counts(flights)) == [(0, 0, 1, 1, 1, 1)]
+    assert tuples(exploration.cancelled_flights(flights)) == [(1, 6)]
+    assert tuples(exploration.early_departures(flights)) == [("AA", 2)]
+    assert tuples(exploration.extreme_delays(flights)) == [(1, -1370.0)]
+    assert tuples(exploration.midnight_24(flights)) == [
+        (3, "24:00:00", "00:05:00"),
+        (5, "bad", "24:00:00"),
+    ]
+
+
+def test_flight_counts(flights):
+    assert tuples(exploration.flight_id_counts(flights)) == [
+        (1, 2),
+        (3, 1),
+        (4, 1),
+        (5, 1),
+    ]
+    assert tuples(exploration.flights_of_tail(flights, "N2")) == [("N2", 3)]
+    assert tuples(exploration.flights_in_year_total(flights, 1996)) == [(4,)]
+    assert tuples(exploration.flights_by_year_carrier(flights)) == [
+        (1996, "AA", 2),
+        (1996, "BB", 2),
+        (1997, "CC", 1),
+        (None, "BB", 1),
+    ]
+
+
+def test_schema_drift_counts_rows_lost_by_typing(spark):
+    text = spark.createDataFrame(
+        [(1, "1996-02-30"), (2, "1996-03-01"), (2, "1996-03-01"), (3, "1997-01-01")],
+        "flight_id long, flight_date string",
+    )
+    typed = text.selectExpr("flight_id", "try_cast(flight_date AS date) AS flight_date")
+    assert tuples(exploration.schema_drift(text, typed, 1996)) == [(1,)]
+
+
+def test_difference_is_distinct_and_treats_nulls_as_equal(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "a int")
+    right = spark.createDataFrame([(2,), (None,)], "a int")
+    assert tuples(difference(left, right)) == [(1,)]
+
+
+def test_dimension_profiles(spark):
+    airlines = spark.createDataFrame(
+        [
+            ("AA", "Trans Alpha", "Canada"),
+            ("AA", "Trans Alpha", "Canada"),
+            ("BB", "Beta", "Canada"),
+            ("CC", "Transit", None),
+        ],
+        "carrier_code string, name string, country string",
+    )
+    assert tuples(exploration.distinct_countries(airlines)) == [(2, 3)]
+    assert tuples(exploration.distinct_countries(airlines.limit(0))) == [(0, 0)]
+    assert tuples(repeated_keys(airlines, "carrier_code")) == [("AA", 2)]
+    found = exploration.airline_name_search(airlines, "Canada", "%Tran%")
+    assert tuples(found) == [("AA", "Trans Alpha"), ("AA", "Trans Alpha")]
+    tables = {"airlines": (airlines, "carrier_code"), "names": (airlines, "name")}
+    assert tuples(exploration.duplicate_keys(tables)) == [("airlines", 1), ("names", 1)]
+
+
+def test_aircraft_by_model_keeps_nulls(spark):
+    aircrafts = spark.createDataFrame(
+        [("CESSNA", "172"), ("CESSNA", "172"), (None, None)],
+        "manufacturer string, model string",
+    )
+    assert tuples(exploration.aircraft_by_model(aircrafts)) == [
+        ("CESSNA", "172", 2),
+        (None, None, 1),
+    ]
+
+
+def test_broadcast_needs_a_measured_size(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 2)], "a string, b long")
+    assert measured_bytes(df) == 2 * (32 + 2 * 16) + 3
+    assert measured_bytes(df.limit(0)) == 0
+    try:
+        spark.conf.set(BROADCAST_BYTES_CONF, "131")
+        assert fits_broadcast(df)
+        spark.conf.set(BROADCAST_BYTES_CONF, "130")
+        assert not fits_broadcast(df)
+    finally:
+        spark.conf.unset(BROADCAST_BYTES_CONF)
