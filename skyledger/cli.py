@@ -129,6 +129,7 @@ def build_parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{table}", required=True)
         sub.add_argument("--format", choices=FORMATS, default="csv")
         sub.add_argument("--out", required=True)
+        sub.add_argument("--shuffle-partitions", type=int)
         sub.set_defaults(run=run)
         return sub
 
@@ -162,4 +163,7 @@ def build_parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
-    args.run(build_session(f"skyledger-{args.command}"), args)
+    spark = build_session(
+        f"skyledger-{args.command}", partitions=args.shuffle_partitions
+    )
+    args.run(spark, args)

@@ -9,33 +9,37 @@ from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
 
-# One shuffle partition for this much input, so that a partition sorts in memory.
+# Bytes of shuffled data per partition, so that one sorts in executor memory, and the
+# most partitions a shuffle starts from. Beyond it partitions grow and adaptive
+# execution splits those of a layout write by its own advisory size.
 SHUFFLE_PARTITION_BYTES = 128 * MIB
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
-def shuffle_partitions(data_bytes: int, cores: int) -> int:
-    """Partitions AQE starts from; it merges small ones and splits skewed ones."""
-    return max(cores, -(-data_bytes // SHUFFLE_PARTITION_BYTES))
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Partitions a shuffle starts from; adaptive execution merges the small ones."""
+    wanted = -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)
+    return min(max(cores, wanted), MAX_SHUFFLE_PARTITIONS)
 
 
 def build_session(
     app_name: str,
     *,
     master: str | None = None,
-    data_bytes: int = 0,
-    cores: int = 8,
+    partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session sized for ``data_bytes`` of shuffled input."""
+    """A session for these jobs; what is not set here stays as the cluster has it."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a hot join key even where that costs one more shuffle.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions(data_bytes, cores)),
         **(conf or {}),
     }
+    if partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)

@@ -18,7 +18,7 @@ def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
     return build_session(
         "skyledger-tests",
         master="local[4]",
-        cores=4,
+        partitions=4,
         conf={
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

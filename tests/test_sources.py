@@ -114,4 +114,5 @@ def test_scratch_paths_are_new_and_below_the_shared_folder(spark):
 
 def test_shuffle_partitions_grow_with_the_data():
     assert shuffle_partitions(0, 8) == 8
-    assert shuffle_partitions(100 * 10**12, 8000) == 745_059
+    assert shuffle_partitions(10**12, 8) == 7451
+    assert shuffle_partitions(100 * 10**12, 8000) == 50_000
