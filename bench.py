@@ -73,6 +73,8 @@ def main() -> None:
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # Keep Python call sites out of each expression.
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

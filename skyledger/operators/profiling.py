@@ -23,9 +23,17 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that are not in ``right``.
+    """Distinct rows of ``left`` that are not in ``right``, nulls being equal.
 
-    Both sides lose their duplicates before the shuffle of the anti-join, so a row
-    repeated many times is not gathered in one task.
+    One aggregate over both sides instead of an anti-join: a single shuffle, before
+    which every repeated row has already been reduced to one per task.
     """
-    return left.distinct().subtract(right.distinct())
+    both = left.withColumn("in_right", F.lit(False)).unionByName(
+        right.withColumn("in_right", F.lit(True))
+    )
+    return (
+        both.groupBy(*left.columns)
+        .agg(F.bool_or("in_right").alias("in_right"))
+        .filter(~F.col("in_right"))
+        .drop("in_right")
+    )

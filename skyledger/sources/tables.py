@@ -70,5 +70,10 @@ def read_airlines(
     return read_table(spark, path, schemas.AIRLINES, fmt=fmt, **csv_options)
 
 
+def read_airports(spark: SparkSession, path: str) -> DataFrame:
+    """Airport codes, the only column in use, found by its name in the header."""
+    return spark.read.option("header", True).csv(path).select("airport_code")
+
+
 def write_csv(df: DataFrame, path: str, *, header: bool = True) -> None:
     df.write.option("header", header).csv(path)

@@ -105,3 +105,9 @@ def test_rollup_query_reads_one_country(spark, tmp_path):
     scan = scan_of(explained(top), "tail_number")
     assert "(country" in scan.split("PartitionFilters:")[1].split("\n")[0]
     assert "IsNotNull(tail_number)" in scan
+
+
+def test_difference_shuffles_once(spark):
+    plan = explained(catalog.schema_drift(spark, SF_DIR), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Join" not in plan

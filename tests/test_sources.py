@@ -9,6 +9,7 @@ from skyledger.sources import schemas
 from skyledger.sources.tables import (
     read_aircrafts,
     read_airlines,
+    read_airports,
     read_csv,
     read_flights,
     read_table,
@@ -59,6 +60,12 @@ def test_no_header(spark, tmp_path):
     ]
 
 
+def test_airport_codes(spark, tmp_path):
+    path = write_text(tmp_path, "airport_code,city", "SYD,Sydney", "MEL,Melbourne")
+    codes = read_airports(spark, path).collect()
+    assert [tuple(row) for row in codes] == [("SYD",), ("MEL",)]
+
+
 def ragged(tmp_path):
     whole = "N1,Corporation,CESSNA,01/01/1990,172M,Valid,Fixed,Reciprocating,1976"
     return write_text(
