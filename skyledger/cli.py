@@ -157,7 +157,7 @@ def build_parser() -> argparse.ArgumentParser:
     )
     for sub in writers:
         sub.add_argument("--out-format", choices=FORMATS, default="parquet")
-        sub.add_argument("--max-records", type=int)
+        sub.add_argument("--max-records", type=int, default=layouts.ROWS_PER_FILE)
     return parser
 
 

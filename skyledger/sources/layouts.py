@@ -18,6 +18,10 @@ YEAR_ONLY = ("year",)
 MIN_ROWS_PER_DIRECTORY = 50_000
 MAX_DIRECTORIES = 50_000
 
+# Rows per file unless told otherwise: tens of megabytes, and a year or country of any
+# size is read by several tasks.
+ROWS_PER_FILE = 1_000_000
+
 # Least rows per file and most files for which a row cap is chosen.
 MIN_FILE_ROWS = 500
 MAX_FILES = 10_000
@@ -103,7 +107,7 @@ def write_flights_by_year(
     *,
     keys: Sequence[str] = YEAR_CARRIER,
     fmt: str = "parquet",
-    max_records_per_file: int | None = None,
+    max_records_per_file: int | None = ROWS_PER_FILE,
 ) -> None:
     """Flights in directories by ``keys``; without a carrier directory, sorted by carrier."""
     sort_within = [] if "carrier_code" in keys else ["carrier_code"]
@@ -136,7 +140,7 @@ def write_country_rollup(
     path: str,
     *,
     fmt: str = "parquet",
-    max_records_per_file: int | None = None,
+    max_records_per_file: int | None = ROWS_PER_FILE,
 ) -> None:
     """Per-tail flight counts of all airlines, in directories by country."""
     write_partitioned(
@@ -159,7 +163,7 @@ def write_country_flights(
     path: str,
     *,
     fmt: str = "parquet",
-    max_records_per_file: int | None = None,
+    max_records_per_file: int | None = ROWS_PER_FILE,
 ) -> None:
     """Flights that carry their airline's name and country, in directories by country."""
     write_partitioned(
