@@ -116,6 +116,7 @@ def run_layout_country(spark: SparkSession, args: argparse.Namespace) -> None:
         args.out,
         fmt=args.out_format,
         max_records_per_file=args.max_records,
+        by_tail=args.by_tail,
     )
 
 
@@ -150,12 +151,11 @@ def build_parser() -> argparse.ArgumentParser:
         sub.add_argument("--country", required=True)
         sub.add_argument("--ties", choices=TIES, default="exact")
 
-    writers = (
-        command("layout-flights", run_layout_flights, "flights"),
-        command("layout-rollup", run_layout_rollup, "flights", "airlines"),
-        command("layout-country", run_layout_country, "flights", "airlines"),
-    )
-    for sub in writers:
+    by_year = command("layout-flights", run_layout_flights, "flights")
+    rollup = command("layout-rollup", run_layout_rollup, "flights", "airlines")
+    by_country = command("layout-country", run_layout_country, "flights", "airlines")
+    by_country.add_argument("--by-tail", action="store_true")
+    for sub in (by_year, rollup, by_country):
         sub.add_argument("--out-format", choices=FORMATS, default="parquet")
         sub.add_argument("--max-records", type=int, default=layouts.ROWS_PER_FILE)
     return parser

@@ -20,7 +20,7 @@ def flights_per_tail(
     country: str | None = None,
     flown_only: bool = True,
 ) -> DataFrame:
-    """Flights per airline and tail number (name, carrier_code, tail_number, country, count).
+    """Flights per airline and tail: name, carrier_code, tail_number, country, count.
 
     A few airlines are broadcast, which drops the flights of all others at the scan.
     Otherwise the flights are counted per (carrier, tail) before they meet the airlines,
@@ -111,7 +111,7 @@ def top_models_per_airline(
 def top_models_from_rollup(
     rollup: DataFrame, aircrafts: DataFrame, country: str, n: int = 5, *, ties: str = "keep"
 ) -> DataFrame:
-    """``top_models_per_airline`` from the country rollup, of which one partition is read."""
+    """``top_models_per_airline`` from the rollup, of which one country is read."""
     per_tail = rollup.filter(F.col("country") == country)
     return rank_models(flights_per_model(per_tail, aircrafts), n, ties=ties)
 

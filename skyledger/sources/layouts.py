@@ -109,7 +109,7 @@ def write_flights_by_year(
     fmt: str = "parquet",
     max_records_per_file: int | None = ROWS_PER_FILE,
 ) -> None:
-    """Flights in directories by ``keys``; without a carrier directory, sorted by carrier."""
+    """Flights in directories by ``keys``, sorted by carrier where that is no directory."""
     sort_within = [] if "carrier_code" in keys else ["carrier_code"]
     write_partitioned(
         with_year(flights),
@@ -164,10 +164,20 @@ def write_country_flights(
     *,
     fmt: str = "parquet",
     max_records_per_file: int | None = ROWS_PER_FILE,
+    by_tail: bool = False,
 ) -> None:
-    """Flights that carry their airline's name and country, in directories by country."""
+    """Flights that carry their airline's name and country, in directories by country.
+
+    ``by_tail`` sorts the rows by tail number, so that a read of a few aircraft skips
+    most of the files and row groups of a country.
+    """
     write_partitioned(
-        flights, path, ["country"], fmt=fmt, max_records_per_file=max_records_per_file
+        flights,
+        path,
+        ["country"],
+        fmt=fmt,
+        max_records_per_file=max_records_per_file,
+        sort_within=["tail_number"] if by_tail else [],
     )
 
 

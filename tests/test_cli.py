@@ -101,6 +101,6 @@ def test_fleet_from_the_country_rollup(spark, run, tables, tmp_path):
 
 
 def test_country_layout(spark, run):
-    stored = run("layout-country", "flights", "airlines")
+    stored = run("layout-country", "flights", "airlines", by_tail=True)
     counts = spark.read.parquet(stored).groupBy("country").count().collect()
     assert {row["country"]: row["count"] for row in counts} == {"Canada": 5, "Egypt": 1}

@@ -128,6 +128,24 @@ def test_country_flights(spark, tmp_path):
     assert [tuple(row) for row in found] == rows
 
 
+def test_country_flights_sorted_by_tail(spark, tmp_path):
+    path = str(tmp_path / "flights")
+    df = spark.range(0, 2000, 1, 4).selectExpr(
+        "id AS flight_id",
+        "concat('N', lpad(string(id * 7919 % 2000), 4, '0')) AS tail_number",
+        "IF(id % 2 = 0, 'Canada', 'Egypt') AS country",
+    )
+    layouts.write_country_flights(df, path, by_tail=True, max_records_per_file=100)
+    stored = layouts.read_country_flights(spark, path)
+    spans = stored.groupBy("country", F.input_file_name()).agg(
+        F.min("tail_number").alias("low"), F.max("tail_number").alias("high")
+    )
+    ordered = spans.orderBy("country", "low").collect()
+    assert len(ordered) == 20
+    for before, after in zip(ordered, ordered[1:]):
+        assert before.country < after.country or before.high < after.low
+
+
 def test_row_cap_per_file(spark, tmp_path):
     path = str(tmp_path / "capped")
     df = spark.range(10).select(
