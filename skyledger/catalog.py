@@ -147,10 +147,9 @@ def t3_missing_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layout_year_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = derived.flights(spark, sf_dir)
     path = scratch_path(spark, "flights-by-year-carrier")
-    # Any number of rows is enough here, so that small tables get both levels too.
-    layouts.write_flights_by_year(
-        flights, path, keys=layouts.flight_keys(flights, min_rows=1)
-    )
+    # Directories may be small here, so that small tables get both levels, if not many.
+    keys = layouts.flight_keys(flights, min_rows=1, max_directories=1_000)
+    layouts.write_flights_by_year(flights, path, keys=keys)
     stored = layouts.read_flights_by_year(spark, path)
     return rows_per(stored.filter(F.col("year") == YEAR), "carrier_code")
 

@@ -16,7 +16,7 @@ YEAR_ONLY = ("year",)
 # A directory pays off when it holds a file of useful size (the published row caps of
 # the year layout start at 50,000 rows) and the directories stay listable.
 MIN_ROWS_PER_DIRECTORY = 50_000
-MAX_DIRECTORIES = 50_000
+MAX_DIRECTORIES = 10_000
 
 # Rows per file unless told otherwise: tens of megabytes, and a year or country of any
 # size is read by several tasks.

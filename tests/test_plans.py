@@ -111,3 +111,28 @@ def test_difference_shuffles_once(spark):
     plan = explained(catalog.schema_drift(spark, SF_DIR), "simple")
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan
+
+
+JIT_METHOD_LIMIT = 8000  # HotSpot leaves larger methods to the interpreter
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        catalog.t1_top_models_flown,
+        catalog.t2_delay_stats,
+        catalog.t3_top_fleet,
+        catalog.profile_early_departures,
+        catalog.profile_extreme_delays,
+        catalog.profile_midnight_24,
+        catalog.profile_null_counts,
+    ],
+)
+def test_generated_code_can_be_compiled(spark, query):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = explained(query(spark, SF_DIR), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert 0 < max(sizes) < JIT_METHOD_LIMIT
