@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger import catalog
+from skyledger.operators.joins import BROADCAST_BYTES_CONF
 from skyledger.plans.delays import delay_stats
-from skyledger.plans.fleet import top_models_from_rollup
+from skyledger.plans.fleet import flights_per_tail, top_models_from_rollup
 from skyledger.sources import derived, layouts
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -43,7 +44,7 @@ def stored_flights(spark, tmp_path_factory):
     return layouts.read_flights_by_year(spark, path)
 
 
-def test_delays_read_one_year_and_four_columns(spark, stored_flights):
+def test_delays_read_one_year_and_three_columns(spark, stored_flights):
     in_year = stored_flights.filter(F.col("year") == 1996)
     plan = explained(delay_stats(in_year, derived.airlines(spark, SF_DIR)))
     scan = scan_of(plan, "actual_departure_time")
@@ -136,3 +137,38 @@ def test_generated_code_can_be_compiled(spark, query):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
     assert 0 < max(sizes) < JIT_METHOD_LIMIT
+
+
+def test_a_hot_carrier_is_split_when_airlines_are_too_many_to_broadcast(spark):
+    """Half of all flights are of one carrier, each with another aircraft."""
+    flights = spark.range(0, 400_000, 1, 8).selectExpr(
+        "IF(id % 2 = 0, 'HOT', concat('C', id % 500)) AS carrier_code",
+        "concat('N', id) AS tail_number",
+        "'10:00:00' AS actual_departure_time",
+    )
+    airlines = spark.range(500).selectExpr(
+        "concat('C', id) AS carrier_code", "string(id) AS name", "'Canada' AS country"
+    )
+    hot = spark.sql("SELECT 'HOT' AS carrier_code, 'Hot' AS name, 'Canada' AS country")
+    settings = {
+        BROADCAST_BYTES_CONF: "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        per_tail = flights_per_tail(flights, airlines.unionByName(hot))
+        plan = final_plan(per_tail.groupBy("tail_number").agg(F.sum("count")))
+        assert "SortMergeJoin(skew=true)" in plan
+        assert per_tail.agg(F.sum("count")).first()[0] == 400_000
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

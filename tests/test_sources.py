@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -119,6 +121,18 @@ def test_scratch_paths_are_new_and_below_the_shared_folder(spark):
     assert first.startswith(f"{root}/x-")
 
 
+def test_a_cluster_must_name_a_shared_folder():
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session(**{"spark.master": "yarn"}), "x")
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///scratch/"}
+    assert scratch_path(session(**shared), "x").startswith("hdfs:///scratch/x-")
+    local = scratch_path(session(**{"spark.master": "local[2]"}), "x")
+    assert Path(local).parent.is_dir()
+
+
 def test_shuffle_partitions_grow_with_the_data():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10**12, 8) == 7451
