@@ -2,25 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-MIB = 1024 * 1024
-
-# Bytes of shuffled data per partition, so that one sorts in executor memory, and the
-# most partitions a shuffle starts from. Beyond it partitions grow and adaptive
-# execution splits those of a layout write by its own advisory size.
-SHUFFLE_PARTITION_BYTES = 128 * MIB
-MAX_SHUFFLE_PARTITIONS = 50_000
-
-
-def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
-    """Partitions a shuffle starts from; adaptive execution merges the small ones."""
-    wanted = -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)
-    return min(max(cores, wanted), MAX_SHUFFLE_PARTITIONS)
-
 
 def build_session(
     app_name: str,
@@ -48,11 +33,24 @@ def build_session(
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder that ``spark.checkpoint.dir`` names."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder below the one that ``spark.checkpoint.dir`` names.
+
+    A local session that names none uses its warehouse; a cluster is refused. Hadoop
+    removes the folder when the session's JVM ends.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="skyledger-")
-    return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{shared.rstrip('/')}/skyledger-{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return root
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid4().hex}"

@@ -6,7 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from skyledger.session import scratch_path, shuffle_partitions
+from skyledger.session import scratch_path
 from skyledger.sources import schemas
 from skyledger.sources.tables import (
     read_aircrafts,
@@ -115,25 +115,23 @@ def test_parquet_tables(spark, tmp_path):
 
 
 def test_scratch_paths_are_new_and_below_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second
-    assert first.startswith(f"{root}/x-")
+    assert first.startswith(f"{shared}/skyledger-{spark.sparkContext.applicationId}/x-")
 
 
-def test_a_cluster_must_name_a_shared_folder():
-    def session(**settings):
-        return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
+class Settings:
+    """A session with other settings than the one that runs the tests."""
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(session(**{"spark.master": "yarn"}), "x")
-    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///scratch/"}
-    assert scratch_path(session(**shared), "x").startswith("hdfs:///scratch/x-")
-    local = scratch_path(session(**{"spark.master": "local[2]"}), "x")
-    assert Path(local).parent.is_dir()
+    def __init__(self, spark, **conf):
+        self.sparkContext = spark.sparkContext
+        self.conf = conf
 
 
-def test_shuffle_partitions_grow_with_the_data():
-    assert shuffle_partitions(0, 8) == 8
-    assert shuffle_partitions(10**12, 8) == 7451
-    assert shuffle_partitions(100 * 10**12, 8000) == 50_000
+def test_scratch_without_a_shared_folder(spark):
+    cluster = Settings(spark, **{"spark.master": "yarn"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(cluster, "x")
+    warehouse = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/tmp/w/"}
+    assert scratch_path(Settings(spark, **warehouse), "x").startswith("file:/tmp/w/sky")
