@@ -7,13 +7,79 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import repeats, simhash
+from skyledger.llm import (
+    decontaminate,
+    embeddings,
+    language,
+    licenses,
+    mixing,
+    repeats,
+    secrets,
+    simhash,
+    token_store,
+    urls,
+)
+
+# The rules of the URL filter and their verdicts.
+URL_RULES = (
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = F.aggregate(
+        "pieces", F.lit(0).cast("long"), lambda total, piece: total + piece["words"]
+    )
+    return mixing.plan(table(spark, sf_dir, "documents"), "doc_id").select(
+        "doc.doc_id", "size", "source_size", "target", taken.alias("taken")
+    )
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "similarity", "changed")
+
+
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.read_documents(
+        token_store.write_segments(table(spark, sf_dir, "documents"))
+    )
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(secrets.span_text("base_spans"), 256).alias("base_sha256"),
+        secrets.span_text("spans").alias("spans"),
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -21,12 +87,111 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame(list(URL_RULES), "rule string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), listed)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op8_repeats, op10_simhash)
+    query.__name__: query
+    for query in (
+        op1_mixing,
+        op2_decontamination,
+        op3_token_store,
+        op4_licenses,
+        op5_secrets,
+        op6_language,
+        op7_embeddings,
+        op8_repeats,
+        op9_urls,
+        op10_simhash,
+    )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source,
+                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                md5(coalesce(doc_id::VARCHAR, '')) AS turn
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+        weighed AS (
+            SELECT source, source_size, 2 * source_size AS most,
+                [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]
+                    AS weight
+            FROM sources),
+        levels AS (
+            SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER before, 0))
+                / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+            FROM weighed
+            WINDOW before AS (ORDER BY most / weight, source NULLS FIRST
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        water AS (
+            SELECT min(level) AS water FROM (
+                SELECT level FROM levels WHERE most / weight > level
+                ORDER BY most / weight, source NULLS FIRST LIMIT 1)),
+        targets AS (
+            SELECT source, source_size,
+                coalesce(least(most::DOUBLE, water * weight), most::DOUBLE) AS target
+            FROM levels, water),
+        placed AS (
+            SELECT doc_id, size, source, coalesce(sum(size) OVER (
+                PARTITION BY source ORDER BY turn, doc_id NULLS FIRST, size
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+            FROM sized)
+        SELECT doc_id, size, source_size, target,
+            (greatest(0, least(size, floor(target + 0.5) - begins))
+                + greatest(0, least(size, floor(target + 0.5) - source_size - begins)))::BIGINT AS taken
+        FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source
+    """,
+    "op7_embeddings": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        units AS (
+            SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM vectors),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b
+                ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+        reached AS (
+            SELECT a, b FROM links
+            UNION
+            SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+        lowest AS (SELECT a, min(b) AS b FROM reached GROUP BY a),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links,
+            least(vec_id, coalesce(lowest.b, vec_id)) AS component_id,
+            coalesce(vec_id = least(vec_id, coalesce(lowest.b, vec_id)), false) AS kept
+        FROM embeddings
+        LEFT JOIN lowest ON lowest.a = vec_id LEFT JOIN counted ON counted.a = vec_id
+    """,
+    "op9_urls": r"""
+        WITH parted AS (
+            SELECT page_id,
+                translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages),
+        rules (rule, listed) AS (VALUES ('net/', 'block'), ('example.net/en/', 'allow'),
+            ('example.com/de/', 'block'), ('org/fr/', 'allow')),
+        ruled AS (
+            SELECT rule, listed, split_part(rule, '/', 1) AS rule_host,
+                substr(rule, strpos(rule, '/')) AS rule_path
+            FROM rules)
+        SELECT page_id, host, path, best.rule AS rule, coalesce(best.listed, 'allow') AS verdict
+        FROM parted LEFT JOIN LATERAL (
+            SELECT rule, listed FROM ruled
+            WHERE (host = rule_host OR suffix(host, '.' || rule_host))
+                AND prefix(path, rule_path)
+            ORDER BY length(rule) DESC, rule DESC LIMIT 1) best ON true
+    """,
+}
