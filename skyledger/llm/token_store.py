@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,8 +28,8 @@ RANK_STEP = 512
 MAGIC = b"DAC1"
 HEADER = struct.Struct("<4sIQI")
 
-# Encoded words that a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+# Encoded words of late and of earlier calls that a worker remembers.
+REMEMBERED = 200_000
 
 
 def vocabulary() -> str:
@@ -124,64 +127,97 @@ class Segment:
 # Encoding of texts
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r" \s|\s |^ | $")
 
 
 class Encoder:
-    """Ids of whole texts. A lone space between two words begins a piece of its own for
-    the tokenizer, so a text's ids are those of its words, each with the space before
-    it, one after the other; words met before are remembered."""
+    """Ids of whole texts.
 
-    def __init__(self, path: str) -> None:
-        import os
+    A space or line feed between two characters that are no white space begins a piece
+    for the tokenizer, so a text's ids are those of its words, each with what stands
+    before it, one after the other. Words are encoded once per call; those of late
+    calls are remembered. Texts with other white space are parted at lone spaces only.
+    """
 
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
+        self._late: dict[str, bytes] = {}
+        self._earlier: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        parted = [
-            _LONE_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-            for text in texts
-        ]
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        known = self._known
-        new = list({word for words in parted for word in words[1:]} - known.keys())
-        known.update(zip(new, self._ids([" " + word for word in new])))
-        heads = self._ids([words[0] for words in parted])
-        return [
-            head + b"".join([known[word] for word in words[1:]])
-            for head, words in zip(heads, parted)
-        ]
+        listed = [one.ids for one in found]
+        flat = np.fromiter(chain.from_iterable(listed), "<u4").tobytes()
+        ends = [4 * end for end in accumulate(map(len, listed))]
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, with a space before those that have no line feed."""
+        if len(self._late) > REMEMBERED:
+            self._late, self._earlier = {}, self._late
+        late, earlier = self._late, self._earlier
+        new = [word for word in words if word not in late]
+        unknown = [word for word in new if word not in earlier]
+        late.update((word, earlier[word]) for word in new if word in earlier)
+        spaced = [word if word.startswith("\n") else " " + word for word in unknown]
+        late.update(zip(unknown, self._encoded(spaced)))
+        return [late[word] for word in words]
+
+    def _whole(self, text: str) -> np.ndarray:
+        head, *rest = _LONE_SPACE.split(text)
+        distinct = list(set(rest))
+        known = dict(zip(distinct, self._encoded([" " + word for word in distinct])))
+        parts = self._encoded([head]) + [known[word] for word in rest]
+        return np.frombuffer(b"".join(parts), "<u4")
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        # A line feed begins a piece as a space does; it stays with its word.
+        parted = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        count = pc.list_value_length(parted).to_numpy()
+        coded = parted.flatten().dictionary_encode()
+        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        first = np.cumsum(count) - count
+        heads, head = np.unique(code[first], return_inverse=True)
+        # Other white space beside the one that cut a word off.
+        core = pc.replace_substring_regex(coded.dictionary, "^\n", "")
+        odd = pc.or_(
+            pc.not_equal(pc.utf8_trim_whitespace(core), core), pc.equal(core, "")
+        ).to_numpy(zero_copy_only=False)
+        odd_texts = np.add.reduceat(odd[code].astype(np.int64), first) > 0
+        code[first] = len(words) + head
+        ids = self._words(words) + self._encoded([words[k] for k in heads])
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        taken = size[code]
+        place = np.arange(taken.sum()) + np.repeat(start[code] - np.cumsum(taken) + taken, taken)
+        found = np.split(flat[place], np.cumsum(np.add.reduceat(taken, first))[:-1])
+        for row in np.flatnonzero(odd_texts):
+            found[row] = self._whole(texts[int(row)].as_py())
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
-# Characters of texts encoded together; bounds memory, not the result.
-CHARS_AT_ONCE = 4_000_000
+# Bytes of texts encoded together; bounds memory, not the result.
+BYTES_AT_ONCE = 12_000_000
 
 
 def _segments(path: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(path, None) or Encoder(path)
+        encoder = _ENCODERS.get(path) or Encoder(path)
         _ENCODERS[path] = encoder
-        part, number = TaskContext.get().partitionId(), 0
-        end = np.array([END_ID], "<u4").tobytes()
-        held: list[bytes] = []
+        part, number, size = TaskContext.get().partitionId(), 0, 0
+        held: list[np.ndarray] = []
         names: list = []
-        size = 0
 
         def segment() -> pa.RecordBatch:
-            lengths = np.array([len(x) // 4 for x in held], np.int64)
-            data = encode_segment(np.frombuffer(b"".join(held), "<u4"), lengths, names)
+            lengths = np.array([len(ids) for ids in held], np.int64)
+            data = encode_segment(np.concatenate(held), lengths, names)
             columns = {
                 "part": pa.array([part], pa.int32()),
                 "number": pa.array([number], pa.int64()),
@@ -191,22 +227,18 @@ def _segments(path: str):
             return pa.RecordBatch.from_pydict(columns)
 
         for batch in batches:
-            doc_ids = batch.column("doc_id").to_pylist()
-            texts = batch.column("text")
-            begin = 0
-            while begin < len(doc_ids):
-                some, chars = [], 0
-                while begin + len(some) < len(doc_ids) and chars < CHARS_AT_ONCE:
-                    some.append(texts[begin + len(some)].as_py() or "")
-                    chars += len(some[-1])
-                for doc_id, ids in zip(doc_ids[begin:], encoder.encode(some)):
-                    held.append(ids + end)
+            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            share = pc.fill_null(pc.binary_length(texts), 0).to_numpy().cumsum()
+            share = share // BYTES_AT_ONCE
+            cuts = np.flatnonzero(np.diff(share, prepend=-1))
+            for a, b in zip(cuts, np.append(cuts[1:], len(doc_ids))):
+                for doc_id, ids in zip(doc_ids[a:b], encoder.encode(texts.slice(a, b - a))):
+                    held.append(np.append(ids, np.uint32(END_ID)))
                     names.append(doc_id)
-                    size += len(held[-1]) // 4
+                    size += len(held[-1])
                     if size >= SEGMENT_IDS:
                         yield segment()
                         held, names, size, number = [], [], 0, number + 1
-                begin += len(some)
         if held:
             yield segment()
 
