@@ -257,7 +257,8 @@ def _repeated_stretches(docs: DataFrame) -> DataFrame:
         ),
         "anchors",
     )
-    names = (
+    # Stored, so that the join below reads its sides as they are and can split a hot name.
+    names = stored(
         found.groupBy("name")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -265,7 +266,8 @@ def _repeated_stretches(docs: DataFrame) -> DataFrame:
             F.max("context").alias("most"),
         )
         .filter(F.col("n") > 1)
-        .select("name", (F.col("least") == F.col("most")).alias("alike"))
+        .select("name", (F.col("least") == F.col("most")).alias("alike")),
+        "shared-names",
     )
     shared = stored(found.join(names, "name"), "shared-anchors")
     unlike = shared.filter(~F.col("alike"))
@@ -290,7 +292,7 @@ def _repeated_stretches(docs: DataFrame) -> DataFrame:
         "windows",
     )
     twice = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"))
-    twice = twice.filter(F.col("n") > 1).select("one", "two")
+    twice = stored(twice.filter(F.col("n") > 1).select("one", "two"), "window-names")
     single = windows.join(twice, ["one", "two"], "left_semi")
     return whole.select("key", "stretch").unionByName(single.select("key", "stretch"))
 
