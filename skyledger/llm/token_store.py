@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +27,9 @@ RANK_STEP = 512
 MAGIC = b"DAC1"
 HEADER = struct.Struct("<4sIQI")
 
-# Encoded words of late and of earlier calls that a worker remembers.
-REMEMBERED = 200_000
+# Distinct words that are encoded as one text, and texts put together at once.
+WORDS_IN_TEXT = 2_000
+TEXTS_AT_ONCE = 500
 
 
 def vocabulary() -> str:
@@ -126,16 +126,14 @@ class Segment:
 
 # Encoding of texts
 
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-
-
 class Encoder:
     """Ids of whole texts.
 
     A space or line feed between two characters that are no white space begins a piece
     for the tokenizer, so a text's ids are those of its words, each with what stands
-    before it, one after the other. Words are encoded once per call; those of late
-    calls are remembered. Texts with other white space are parted at lone spaces only.
+    before it, one after the other. Distinct words are encoded once per call, many in
+    one text: there every word's first id is one that begins with its space or line
+    feed, and no other does. Texts with other white space are encoded as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -143,34 +141,28 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._late: dict[str, bytes] = {}
-        self._earlier: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        # The byte-level alphabet writes a space and a line feed so.
+        self._begins[[k for t, k in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        listed = [one.ids for one in found]
-        flat = np.fromiter(chain.from_iterable(listed), "<u4").tobytes()
-        ends = [4 * end for end in accumulate(map(len, listed))]
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words, with a space before those that have no line feed."""
-        if len(self._late) > REMEMBERED:
-            self._late, self._earlier = {}, self._late
-        late, earlier = self._late, self._earlier
-        new = [word for word in words if word not in late]
-        unknown = [word for word in new if word not in earlier]
-        late.update((word, earlier[word]) for word in new if word in earlier)
-        spaced = [word if word.startswith("\n") else " " + word for word in unknown]
-        late.update(zip(unknown, self._encoded(spaced)))
-        return [late[word] for word in words]
-
-    def _whole(self, text: str) -> np.ndarray:
-        head, *rest = _LONE_SPACE.split(text)
-        distinct = list(set(rest))
-        known = dict(zip(distinct, self._encoded([" " + word for word in distinct])))
-        parts = self._encoded([head]) + [known[word] for word in rest]
-        return np.frombuffer(b"".join(parts), "<u4")
+        return [one.ids for one in found]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and where each word's begin."""
+        if not len(words):
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        texts = [
+            b"".join(words.slice(k, WORDS_IN_TEXT).cast(pa.binary()).to_pylist()).decode()
+            for k in range(0, len(words), WORDS_IN_TEXT)
+        ]
+        ids = np.fromiter(chain.from_iterable(self._ids(texts)), "<u4")
+        begin = np.flatnonzero(self._begins[ids])
+        if len(begin) != len(words):
+            raise ValueError("the tokenizer does not begin a piece at every word")
+        return ids, np.append(begin, len(ids))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null counts as empty."""
@@ -179,32 +171,48 @@ class Encoder:
         parted = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         count = pc.list_value_length(parted).to_numpy()
         coded = parted.flatten().dictionary_encode()
-        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        words, code = coded.dictionary, coded.indices.to_numpy().copy()
         first = np.cumsum(count) - count
-        heads, head = np.unique(code[first], return_inverse=True)
         # Other white space beside the one that cut a word off.
-        core = pc.replace_substring_regex(coded.dictionary, "^\n", "")
+        feed = pc.starts_with(words, "\n")
+        core = pc.if_else(feed, pc.utf8_slice_codeunits(words, 1), words)
         odd = pc.or_(
             pc.not_equal(pc.utf8_trim_whitespace(core), core), pc.equal(core, "")
         ).to_numpy(zero_copy_only=False)
         odd_texts = np.add.reduceat(odd[code].astype(np.int64), first) > 0
+        space = pc.if_else(feed, "", " ")
+        spaced = pc.binary_join_element_wise(space, words, "").filter(pa.array(~odd))
+        ids, begin = self._words(spaced)
+        # A text's first word has no space before it.
+        heads, head = np.unique(code[first], return_inverse=True)
+        own = [np.array(x, "<u4") for x in self._ids(words.take(pa.array(heads)).to_pylist())]
+        size, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        size[~odd], start[~odd] = np.diff(begin), begin[:-1]
+        size = np.append(size, [len(x) for x in own]).astype(np.int64)
+        start = np.append(start, len(ids) + np.cumsum([0, *map(len, own)])[:-1])
+        flat = np.concatenate([ids, *own])
         code[first] = len(words) + head
-        ids = self._words(words) + self._encoded([words[k] for k in heads])
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        taken = size[code]
-        place = np.arange(taken.sum()) + np.repeat(start[code] - np.cumsum(taken) + taken, taken)
-        found = np.split(flat[place], np.cumsum(np.add.reduceat(taken, first))[:-1])
-        for row in np.flatnonzero(odd_texts):
-            found[row] = self._whole(texts[int(row)].as_py())
+        found, end = [], np.cumsum(count)
+        for a in range(0, len(end), TEXTS_AT_ONCE):
+            last = min(a + TEXTS_AT_ONCE, len(end))
+            part = code[first[a] : end[last - 1]]
+            taken = size[part]
+            at = np.arange(taken.sum()) + np.repeat(
+                start[part] - np.cumsum(taken) + taken, taken
+            )
+            per_text = np.add.reduceat(taken, first[a:last] - first[a])
+            found += np.split(flat[at], np.cumsum(per_text)[:-1])
+        odd_rows = np.flatnonzero(odd_texts)
+        whole = self._ids(texts.take(pa.array(odd_rows)).to_pylist())
+        for row, one in zip(odd_rows, whole):
+            found[row] = np.array(one, "<u4")
         return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 # Bytes of texts encoded together; bounds memory, not the result.
-BYTES_AT_ONCE = 12_000_000
+BYTES_AT_ONCE = 24_000_000
 
 
 def _segments(path: str):
