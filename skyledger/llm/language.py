@@ -316,7 +316,8 @@ def identify(docs: DataFrame) -> DataFrame:
     )
     same = (F.col("lang_pred") == F.col("usual_lang")) & (length == F.col("usual_length"))
     limit = F.col("mean") + REJECT_DEVIATIONS * F.col("deviation")
-    return scored.join(usual, same, "left").select(
+    # At most a row for each language and power of two.
+    return scored.join(F.broadcast(usual), same, "left").select(
         "doc_id",
         "key",
         "held_out",
