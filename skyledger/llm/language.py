@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import stored
@@ -21,8 +21,10 @@ MODEL_SEQUENCES = 100_000
 MOST_LANGUAGES = 200
 
 # Texts as unlike their language as this many standard deviations of texts of their
-# length are rejected.
+# length, and this many nats per character at least, are rejected. Foreign text costs
+# more than that; text that changes language or repeats itself does not.
 REJECT_DEVIATIONS = 8.0
+REJECT_NATS = 1.0
 
 # Characters of whole documents handled together; bounds memory, not the result.
 CHARS_AT_ONCE = 1_000_000
@@ -130,7 +132,7 @@ class Model:
         alphabet = max(2, len(tables[1]))
         for k in range(1, ORDER + 1):
             names = list(tables[k])
-            counts = np.array([tables[k][s] for s in names]).reshape(-1, width)
+            counts = np.array([tables[k][s] for s in names]).reshape(len(names), width)
             once, twice = (counts == 1).sum(0), (counts == 2).sum(0)
             discount = np.where(once > 0, once / np.maximum(1, once + 2 * twice), 0.5)
             contexts: dict[str, int] = {}
@@ -145,7 +147,7 @@ class Model:
             below = (
                 np.full((len(names), width), 1.0 / alphabet)
                 if k == 1
-                else np.array([lower[s[1:]] for s in names]).reshape(-1, width)
+                else np.array([lower[s[1:]] for s in names]).reshape(len(names), width)
             )
             share = np.maximum(counts - discount, 0) / np.maximum(total, 1)[at]
             value = share + weight[at] * below
@@ -262,6 +264,7 @@ def _scores(shared: Broadcast):
                         "doc_id": part.column("doc_id"),
                         "key": part.column("key"),
                         "held_out": part.column("held_out"),
+                        "taught": part.column("taught"),
                         "lang_pred": pa.array(best, pa.string()),
                         "score": pa.array(score, pa.float64()),
                         "entropy": pa.array(entropy, pa.float64()),
@@ -280,8 +283,9 @@ def identify(docs: DataFrame) -> DataFrame:
     them (interpolated Kneser-Ney). A text gets the language of the lowest cross-entropy
     per character; ``score`` is that language's share, from 0 to 1. ``rejected`` marks
     texts without letters and those whose cross-entropy lies ``REJECT_DEVIATIONS``
-    standard deviations above the mean of the texts of that language and about that
-    length, so that ordinary texts of any length stay.
+    standard deviations and ``REJECT_NATS`` above the mean of the texts of that language
+    and about that length that were learned from (of any length, where there are none),
+    so that ordinary texts of any length stay.
 
     A null text or one without a letter is ``und`` with the score 0, as is every text if
     no text can be learned from. Without a doc_id a row is neither held out nor learned
@@ -296,36 +300,62 @@ def identify(docs: DataFrame) -> DataFrame:
     ).select("lang", "text")
     shared = spark.sparkContext.broadcast(_trained(learned))
     schema = (
-        "doc_id long, key long, held_out boolean, lang_pred string, score double, "
-        "entropy double, n_letters long"
+        "doc_id long, key long, held_out boolean, taught string, lang_pred string, "
+        "score double, entropy double, n_letters long"
     )
     scored = stored(
         docs.select(
             "doc_id",
             F.xxhash64("doc_id", "text").alias("key"),
             held_out.alias("held_out"),
+            # Only for the calibration below: the lang of texts that were learned from.
+            F.when(remainder != 2, F.col("lang")).alias("taught"),
             "text",
         ).mapInArrow(_scores(shared), schema),
         "language-scores",
     )
     length = F.floor(F.log2(F.col("n_letters") + 1)).cast("int")
-    usual = (
-        scored.filter(F.col("entropy").isNotNull())
-        .groupBy(F.col("lang_pred").alias("usual_lang"), length.alias("usual_length"))
-        .agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("deviation"))
+    moments = [
+        F.count("entropy").alias("n"),
+        F.sum("entropy").alias("total"),
+        F.sum(F.col("entropy") * F.col("entropy")).alias("squares"),
+    ]
+    # At most a row for each language and power of two, then for each language.
+    by_length = (
+        scored.filter(F.col("taught") == F.col("lang_pred"))
+        .groupBy("lang_pred", length.alias("length"))
+        .agg(*moments)
+    )
+
+    def limit(n: str, total: str, squares: str) -> Column:
+        mean = F.col(total) / F.col(n)
+        variance = F.greatest(F.col(squares) / F.col(n) - mean * mean, F.lit(0.0))
+        return mean + F.greatest(REJECT_DEVIATIONS * F.sqrt(variance), F.lit(REJECT_NATS))
+
+    whole = (
+        by_length.groupBy("lang_pred")
+        .agg(*(F.sum(c).alias(c) for c in ("n", "total", "squares")))
+        .select("lang_pred", limit("n", "total", "squares").alias("any_length"))
+    )
+    near = by_length.select(
+        "lang_pred", "length", limit("n", "total", "squares").alias("this_length")
     )
-    same = (F.col("lang_pred") == F.col("usual_lang")) & (length == F.col("usual_length"))
-    limit = F.col("mean") + REJECT_DEVIATIONS * F.col("deviation")
-    # At most a row for each language and power of two.
-    return scored.join(F.broadcast(usual), same, "left").select(
-        "doc_id",
-        "key",
-        "held_out",
-        "lang_pred",
-        "score",
-        "entropy",
-        "n_letters",
-        F.coalesce(F.col("entropy") > limit, F.lit(True)).alias("rejected"),
+    usual = F.coalesce("this_length", "any_length")
+    return (
+        scored.withColumn("length", length)
+        .join(F.broadcast(near), ["lang_pred", "length"], "left")
+        .join(F.broadcast(whole), "lang_pred", "left")
+        .select(
+            "doc_id",
+            "key",
+            "held_out",
+            "lang_pred",
+            "score",
+            "entropy",
+            "n_letters",
+            (F.col("entropy").isNull() | F.coalesce(F.col("entropy") > usual, F.lit(False)))
+            .alias("rejected"),
+        )
     )
 
 

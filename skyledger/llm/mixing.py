@@ -35,7 +35,7 @@ def source_targets(
     budget: float = BUDGET,
     repeats: int = MOST_REPEATS,
 ) -> DataFrame:
-    """(source, source_size, target) from (source, source_size), a row per source.
+    """``sizes`` (source, source_size, a row per source) with its ``target``.
 
     Sources in order of code points, null last, weigh ``weights`` in turn and share
     ``budget`` times all words. A target stops at ``repeats`` times its source, and what
@@ -66,21 +66,21 @@ def source_targets(
         F.least(F.col("most").cast("double"), water * F.col("weight")),
         F.col("most").cast("double"),
     )
-    return level.select("source", "source_size", target.alias("target"))
+    return level.withColumn("target", target).drop("weight", "most", "level")
 
 
 def _halved(seed: int, level: int):
     """Splits the quotas of one node of the tree between its two children."""
 
     def split(node: pd.DataFrame) -> pd.DataFrame:
-        node = node.sort_values("source", na_position="last", ignore_index=True)
+        node = node.sort_values("of", ignore_index=True)
         quota = node["quota"].to_numpy(np.int64)
         number = int(node["node"].iloc[0])
         draw = np.random.default_rng([seed, level, number])
         left = draw.multivariate_hypergeometric(quota, quota.sum() // 2)
         parts = [(2 * number, left), (2 * number + 1, quota - left)]
         return pd.concat(
-            [node[["source"]].assign(node=n, quota=q) for n, q in parts],
+            [node[["of"]].assign(node=n, quota=q) for n, q in parts],
             ignore_index=True,
         )
 
@@ -88,16 +88,16 @@ def _halved(seed: int, level: int):
 
 
 def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """(source, ends): the running block quotas of the shards, in order, per source.
+    """(of, ends): the running block quotas of the shards, in order, per source.
 
     The root of the tree holds every source's blocks. Each node draws, without putting
     back, which half of its blocks go to its left child (multivariate hypergeometric,
     seeded by the node), so quotas are exact at every level and shards equally large.
     """
-    tree = quotas.select("source", F.lit(0).cast("long").alias("node"), "quota")
+    tree = quotas.select("of", F.lit(0).cast("long").alias("node"), "quota")
     for level in range(shards.bit_length() - 1):
         tree = tree.groupBy("node").applyInPandas(
-            _halved(seed, level), "source string, node long, quota long"
+            _halved(seed, level), "of string, node long, quota long"
         )
     by_shard = F.array_sort(F.collect_list(F.struct("node", "quota")))
     ends = F.transform(
@@ -109,9 +109,9 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
         ),
     )
     return (
-        tree.groupBy("source")
+        tree.groupBy("of")
         .agg(by_shard.alias("shards"))
-        .select("source", ends.alias("ends"))
+        .select("of", ends.alias("ends"))
     )
 
 
@@ -143,53 +143,53 @@ def plan(
     rows = docs.select(
         F.struct(*carried).alias("doc"),
         F.col("source"),
+        # Never null, so that plain joins find it.
+        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("of"),
         word_count(F.col("text")).alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("turn"),
         F.col("doc_id").alias("turn_id"),
     ).withColumn("section", F.substring("turn", 1, 4))
-    narrow = rows.select("source", "section", "size")
-    sections = narrow.groupBy("source", "section").agg(F.sum("size").alias("words"))
-    before = (
-        Window.partitionBy("source")
-        .orderBy("section")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    sections = rows.groupBy("of", "section").agg(
+        F.first("source").alias("source"), F.sum("size").alias("words_in")
     )
-    sections = sections.select(
-        F.col("source").alias("of"),
-        F.col("section").alias("at"),
-        F.coalesce(F.sum("words").over(before), F.lit(0)).alias("words_before"),
+    sizes = sections.groupBy("of").agg(
+        F.first("source").alias("source"), F.sum("words_in").alias("source_size")
     )
-    sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, budget, repeats)
     words = F.floor(F.col("target") + 0.5).cast("long")
     targets = targets.withColumn("words", words).withColumn(
         "quota", F.ceil(F.col("words") / block_words).cast("long")
     )
-    ends = shard_quotas(targets.select("source", "quota"), shards, seed)
-    info = targets.join(
-        ends.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))
-    ).select(
-        F.col("source").alias("mixed"), "source_size", "target", "words", "quota", "ends"
+    before = (
+        Window.partitionBy("of")
+        .orderBy("section")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    info = (
+        sections.select(
+            "of",
+            "section",
+            F.coalesce(F.sum("words_in").over(before), F.lit(0)).alias("words_before"),
+        )
+        .join(targets.drop("source"), "of")
+        .join(shard_quotas(targets.select("of", "quota"), shards, seed), "of")
     )
     in_section = (
-        Window.partitionBy("source", "section")
+        Window.partitionBy("of", "section")
         .orderBy("turn", "turn_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    # The only shuffle of the documents serves both the window and the join.
     placed = rows.withColumn(
         "within", F.coalesce(F.sum("size").over(in_section), F.lit(0))
-    )
-    same = F.col("source").eqNullSafe(F.col("of")) & (F.col("section") == F.col("at"))
-    placed = placed.join(sections, same).join(
-        info, F.col("source").eqNullSafe(F.col("mixed"))
-    )
+    ).join(info, ["of", "section"])
     begin = F.col("words_before") + F.col("within")
 
     def piece(k: int) -> Column:
         at = F.col("source_size") * k + begin
         block = F.floor(at / block_words).cast("long")
         quota = F.greatest("quota", F.lit(1))
-        offset = F.pmod(F.xxhash64("source", F.lit(seed)), quota)
+        offset = F.pmod(F.xxhash64("of", F.lit(seed)), quota)
         rank = F.pmod(block * F.pmod(F.lit(STRIDE), quota) + offset, quota)
         return F.struct(
             F.lit(k).alias("pass"),
