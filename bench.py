@@ -125,12 +125,12 @@ def main() -> None:
         flat_schema = T.StructType(flights.schema.fields)
 
         by_year_path = scratch_path(spark, f"by-year-{fmt}")
-        keys = layouts.flight_keys(flights)
         queries[f"write_by_year_{fmt}"] = timed(
             lambda: layouts.write_flights_by_year(
                 flights,
                 by_year_path,
-                keys=keys,
+                # The derived flights have a thousand small carriers.
+                keys=layouts.YEAR_ONLY,
                 fmt=fmt,
                 max_records_per_file=YEAR_ROWS_PER_FILE,
             )

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.operators.profiling import null_counts, rows_per
 from skyledger.plans import exploration, reports
@@ -19,7 +20,7 @@ from skyledger.plans.fleet import (
 )
 from skyledger.plans.top_models import model_counts, top_models
 from skyledger.session import scratch_path
-from skyledger.sources import derived, layouts, tables
+from skyledger.sources import derived, layouts, schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,7 @@ MISSING_COUNTRY = "bob"
 YEAR = 1996
 TAIL = "N000050"
 NAME_PATTERN = "%000%"
+FILE_CAP = 500
 
 
 # Most flown models of one manufacturer
@@ -81,11 +83,43 @@ def t2_delay_stats_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t2_delay_stats_from_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = derived.flights(spark, sf_dir)
     path = scratch_path(spark, "flights-by-year")
-    layouts.write_flights_by_year(flights, path, keys=layouts.flight_keys(flights))
+    layouts.write_flights_by_year(flights, path)
     in_year = layouts.read_flights_by_year(spark, path).filter(F.col("year") == YEAR)
     return delay_stats(in_year, derived.airlines(spark, sf_dir))
 
 
+def t2_delay_stats_from_csv_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flights = derived.flights(spark, sf_dir)
+    # A CSV file has its columns by place, so the table is written with all of them.
+    columns = [
+        F.col(field.name) if field.name in flights.columns
+        else F.lit(None).cast(field.dataType).alias(field.name)
+        for field in schemas.FLIGHTS
+    ]
+    path = scratch_path(spark, "flights-by-year-csv")
+    layouts.write_flights_by_year(flights.select(*columns), path, fmt="csv")
+    # Partition columns are no part of the files.
+    kept = [f for f in schemas.FLIGHTS if f.name != "carrier_code"]
+    carrier = schemas.FLIGHTS["carrier_code"]
+    stored = layouts.read_flights_by_year(
+        spark, path, fmt="csv", schema=T.StructType([*kept, carrier])
+    )
+    return delay_stats(
+        stored.filter(F.col("year") == YEAR), derived.airlines(spark, sf_dir)
+    )
+
+
+def _flights_csv(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "flights-csv")
+    tables.write_csv(derived.flight_file_rows(spark, sf_dir), path)
+    return path
+
+
+def t2_delay_stats_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flights = tables.read_flights(spark, _flights_csv(spark, sf_dir))
+    return delay_stats(flights, derived.airlines(spark, sf_dir), YEAR)
+
+
 # Models per airline
 
 
@@ -117,13 +151,15 @@ def t3_least_flown(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_rollup(
+    spark: SparkSession, sf_dir: str, fmt: str = "parquet"
+) -> DataFrame:
     per_tail = flights_per_tail(
         derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
     )
     path = scratch_path(spark, "country-rollup")
-    layouts.write_country_rollup(per_tail, path)
-    return layouts.read_country_rollup(spark, path)
+    layouts.write_country_rollup(per_tail, path, fmt=fmt)
+    return layouts.read_country_rollup(spark, path, fmt=fmt)
 
 
 def t3_top_fleet_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +168,12 @@ def t3_top_fleet_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def t3_top_fleet_from_csv_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_models_from_rollup(
+        _stored_rollup(spark, sf_dir, "csv"), derived.aircrafts(spark, sf_dir), COUNTRY
+    )
+
+
 def t3_missing_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = top_models_from_rollup(
         _stored_rollup(spark, sf_dir),
@@ -147,9 +189,7 @@ def t3_missing_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layout_year_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = derived.flights(spark, sf_dir)
     path = scratch_path(spark, "flights-by-year-carrier")
-    # Directories may be small here, so that small tables get both levels, if not many.
-    keys = layouts.flight_keys(flights, min_rows=1, max_directories=1_000)
-    layouts.write_flights_by_year(flights, path, keys=keys)
+    layouts.write_flights_by_year(flights, path)
     stored = layouts.read_flights_by_year(spark, path)
     return rows_per(stored.filter(F.col("year") == YEAR), "carrier_code")
 
@@ -173,14 +213,33 @@ def layout_country_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         path,
     )
-    return rows_per(layouts.read_country_flights(spark, path), "country")
+    return (
+        layouts.read_country_flights(spark, path)
+        .groupBy("country")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_distinct("tail_number").alias("tails"),
+            F.count_distinct("name").alias("names"),
+        )
+    )
+
+
+def layout_country_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "country-tail")
+    layouts.write_country_tail(
+        flights_with_airline(
+            derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
+        ),
+        path,
+    )
+    stored = layouts.read_country_flights(spark, path)
+    return rows_per(stored.filter(F.col("country") == COUNTRY), "name", "tail_number")
 
 
 def layout_file_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = _stored_rollup(spark, sf_dir)
     path = scratch_path(spark, "country-rollup-capped")
-    cap = layouts.capped_rows_per_file(rollup.count())
-    layouts.write_country_rollup(rollup, path, max_records_per_file=cap)
+    layouts.write_country_rollup(rollup, path, max_records_per_file=FILE_CAP)
     files = rows_per(
         layouts.read_country_rollup(spark, path).select(
             F.input_file_name().alias("file")
@@ -188,7 +247,7 @@ def layout_file_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file",
     )
     return files.agg(
-        (F.max("n") <= cap).alias("within_cap"), F.sum("n").alias("total")
+        (F.max("n") <= FILE_CAP).alias("within_cap"), F.sum("n").alias("total")
     )
 
 
@@ -200,7 +259,10 @@ def flights_by_year_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rollup_by_country_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exploration.rollup_by_country_carrier(_stored_rollup(spark, sf_dir))
+    per_tail = flights_per_tail(
+        derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
+    )
+    return exploration.rollup_by_country_carrier(per_tail)
 
 
 def flights_in_year_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,10 +340,20 @@ def distinct_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = derived.flights(spark, sf_dir)
-    as_text = F.date_format("flight_date", "yyyy-MM-dd")
-    text = typed.withColumn("flight_date", as_text)
-    return exploration.schema_drift(text, typed, YEAR)
+    path = _flights_csv(spark, sf_dir)
+    text = tables.read_csv(spark, path, _as_text(schemas.FLIGHTS_FILE))
+    return exploration.schema_drift(text, tables.read_flights(spark, path), YEAR)
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+
+
+def profile_lost_to_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _flights_csv(spark, sf_dir)
+    text = tables.read_csv(spark, path, _as_text(schemas.FLIGHTS_FILE))
+    typed = [f for f in schemas.FLIGHTS_FILE if not isinstance(f.dataType, T.StringType)]
+    return exploration.lost_to_typing(text, T.StructType(typed))
 
 
 # Data quality
@@ -341,10 +413,9 @@ def src_csv_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each aircraft as a whole line, one cut short and one with surplus fields."""
     rows = derived.aircraft_file_rows(spark, sf_dir)
-    fields = [F.coalesce(F.col(name), F.lit("")) for name in rows.columns]
-    line = F.concat_ws(",", *fields)
-    cut = F.concat_ws(",", *fields[:3])
-    surplus = F.concat_ws(",", *fields, F.lit("surplus"))
+    line = F.to_csv(F.struct(*rows.columns))
+    cut = F.to_csv(F.struct(*rows.columns[:3]))
+    surplus = F.to_csv(F.struct(*rows.columns, F.lit("surplus").alias("surplus")))
     path = scratch_path(spark, "aircrafts-ragged")
     rows.select(F.explode(F.array(line, cut, surplus)).alias("line")).write.text(path)
     return tables.read_aircrafts(
@@ -367,6 +438,10 @@ def report_fleet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.fleet_lines(t3_top_fleet_exact(spark, sf_dir))
 
 
+def report_fleet_lines_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ranked_lines(t3_top_fleet(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -377,14 +452,18 @@ QUERIES: dict[str, Query] = {
         t2_delay_stats_absolute,
         t2_delay_stats_country,
         t2_delay_stats_from_layout,
+        t2_delay_stats_from_csv_layout,
+        t2_delay_stats_from_csv,
         t3_top_fleet,
         t3_top_fleet_exact,
         t3_top_fleet_from_rollup,
+        t3_top_fleet_from_csv_rollup,
         t3_least_flown,
         t3_missing_country,
         layout_year_carrier,
         layout_country_rollup,
         layout_country_flights,
+        layout_country_tail,
         layout_file_cap,
         flights_by_year_carrier,
         rollup_by_country_carrier,
@@ -408,11 +487,13 @@ QUERIES: dict[str, Query] = {
         profile_extreme_delays,
         profile_join_coverage,
         profile_midnight_24,
+        profile_lost_to_typing,
         src_csv_roundtrip,
         src_csv_headerless,
         src_csv_ragged,
         report_model_lines,
         report_delay_lines,
         report_fleet_lines,
+        report_fleet_lines_ties,
     )
 }

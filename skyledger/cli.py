@@ -43,6 +43,11 @@ def _aircrafts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_aircrafts(spark, args.aircrafts, fmt=args.format, **options)
 
 
+def _fleet_lines(ranked: DataFrame, ties: str) -> DataFrame:
+    exact = ties == "exact"
+    return reports.fleet_lines(ranked) if exact else reports.ranked_lines(ranked)
+
+
 def _write_report(lines: DataFrame, path: str) -> None:
     lines.write.text(path)
 
@@ -57,7 +62,7 @@ def run_top_models(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_delays(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.layout:
         flights = layouts.read_flights_by_year(
-            spark, args.flights, fmt=args.format
+            spark, args.flights, fmt=args.layout_format
         ).filter(F.col("year") == args.year)
     else:
         flights = _flights(spark, args)
@@ -79,23 +84,22 @@ def run_fleet(spark: SparkSession, args: argparse.Namespace) -> None:
         args.country,
         ties=args.ties,
     )
-    _write_report(reports.fleet_lines(ranked), args.out)
+    _write_report(_fleet_lines(ranked, args.ties), args.out)
 
 
 def run_fleet_from_rollup(spark: SparkSession, args: argparse.Namespace) -> None:
-    rollup = layouts.read_country_rollup(spark, args.rollup, fmt=args.format)
+    rollup = layouts.read_country_rollup(spark, args.rollup, fmt=args.layout_format)
     ranked = top_models_from_rollup(
         rollup, _aircrafts(spark, args), args.country, ties=args.ties
     )
-    _write_report(reports.fleet_lines(ranked), args.out)
+    _write_report(_fleet_lines(ranked, args.ties), args.out)
 
 
 def run_layout_flights(spark: SparkSession, args: argparse.Namespace) -> None:
-    flights = _flights(spark, args)
     layouts.write_flights_by_year(
-        flights,
+        _flights(spark, args),
         args.out,
-        keys=layouts.flight_keys(flights),
+        keys=args.keys,
         fmt=args.out_format,
         max_records_per_file=args.max_records,
     )
@@ -149,9 +153,15 @@ def build_parser() -> argparse.ArgumentParser:
     stored = command("fleet-from-rollup", run_fleet_from_rollup, "rollup", "aircrafts")
     for sub in (fleet, stored):
         sub.add_argument("--country", required=True)
-        sub.add_argument("--ties", choices=TIES, default="exact")
+        sub.add_argument("--ties", choices=TIES, default="keep")
+
+    for sub in (delays, stored):
+        sub.add_argument("--layout-format", choices=FORMATS, default="parquet")
 
     by_year = command("layout-flights", run_layout_flights, "flights")
+    by_year.add_argument(
+        "--keys", nargs="+", choices=layouts.YEAR_CARRIER, default=layouts.YEAR_CARRIER
+    )
     rollup = command("layout-rollup", run_layout_rollup, "flights", "airlines")
     by_country = command("layout-country", run_layout_country, "flights", "airlines")
     by_country.add_argument("--by-tail", action="store_true")

@@ -118,7 +118,11 @@ def _top_models(source: str) -> str:
     """
 
 
-def _delay_stats(early: str = "gap - 86400", airline_filter: str = "TRUE") -> str:
+def _delay_stats(
+    early: str = "gap - 86400",
+    airline_filter: str = "TRUE",
+    flight_filter: str = "TRUE",
+) -> str:
     return f"""
     SELECT a.name, d.numOfDelays, d.avgDelays, d.minDelay, d.maxDelay
     FROM (
@@ -132,7 +136,7 @@ def _delay_stats(early: str = "gap - 86400", airline_filter: str = "TRUE") -> st
                CASE WHEN gap > 43200 THEN {early}
                     WHEN gap < -43200 THEN gap + 86400
                     ELSE gap END AS delay
-        FROM gaps WHERE {IN_YEAR}
+        FROM gaps WHERE {IN_YEAR} AND {flight_filter}
       ) WHERE delay > 0
       GROUP BY carrier_code
     ) d JOIN airlines a ON a.carrier_code = d.carrier_code
@@ -178,9 +182,12 @@ BODIES: dict[str, str] = {
     "t2_delay_stats_absolute": _delay_stats(early="86400 - gap"),
     "t2_delay_stats_country": _delay_stats(airline_filter=f"a.country = '{COUNTRY}'"),
     "t2_delay_stats_from_layout": _delay_stats(),
+    "t2_delay_stats_from_csv_layout": _delay_stats(),
+    "t2_delay_stats_from_csv": _delay_stats(flight_filter="flight_id % 41 <> 0"),
     "t3_top_fleet": TOP_FLEET,
     "t3_top_fleet_exact": "SELECT * FROM exact_fleet WHERE rank <= 5",
     "t3_top_fleet_from_rollup": TOP_FLEET,
+    "t3_top_fleet_from_csv_rollup": TOP_FLEET,
     "t3_least_flown": _ranked_fleet("ASC"),
     "t3_missing_country": f"""
     SELECT CAST(count(*) AS BIGINT) AS n FROM rollup_rows
@@ -196,10 +203,17 @@ BODIES: dict[str, str] = {
     FROM rollup_rows GROUP BY country
     """,
     "layout_country_flights": """
-    SELECT a.country, CAST(count(*) AS BIGINT) AS n
+    SELECT a.country, CAST(count(*) AS BIGINT) AS n,
+           CAST(count(DISTINCT tail_number) AS BIGINT) AS tails,
+           CAST(count(DISTINCT name) AS BIGINT) AS names
     FROM flown f JOIN airlines a ON f.carrier_code = a.carrier_code
     GROUP BY a.country
     """,
+    "layout_country_tail": f"""
+    SELECT name, tail_number, CAST(count(*) AS BIGINT) AS n
+    FROM flown f JOIN airlines a ON f.carrier_code = a.carrier_code
+    WHERE country = '{COUNTRY}' GROUP BY name, tail_number
+    """,
     "layout_file_cap": """
     SELECT TRUE AS within_cap, CAST(count(*) AS BIGINT) AS total FROM rollup_rows
     """,
@@ -265,11 +279,18 @@ BODIES: dict[str, str] = {
     "schema_drift": f"""
     SELECT CAST(count(*) AS BIGINT) AS missing FROM (
       SELECT flight_id FROM flights
-      WHERE strftime(flight_date, '%Y-%m-%d') BETWEEN '{YEAR}-01-01' AND '{YEAR}-12-31'
+      WHERE flight_id % 41 = 0 AND concat(strftime(flight_date, '%Y-%m-%d'), '?')
+            BETWEEN '{YEAR}-01-01' AND '{YEAR}-12-31'
       EXCEPT
-      SELECT flight_id FROM flights WHERE {IN_YEAR}
+      SELECT flight_id FROM flights WHERE flight_id % 41 <> 0 AND {IN_YEAR}
     )
     """,
+    "profile_lost_to_typing": """
+    SELECT CAST(0 AS BIGINT) AS flight_id,
+           CAST(count(*) FILTER (flight_id % 41 = 0) AS BIGINT) AS flight_date,
+           CAST(0 AS BIGINT) AS distance
+    FROM flights
+    """,
     "profile_null_counts": f"""
     SELECT {_nulls('flight_id', 'carrier_code', 'flight_date', 'tail_number',
                    'scheduled_departure_time', 'actual_departure_time')}
@@ -331,6 +352,11 @@ BODIES: dict[str, str] = {
                   ']') AS line
     FROM exact_fleet WHERE rank <= 5 GROUP BY name
     """,
+    "report_fleet_lines_ties": f"""
+    SELECT concat_ws(' \t ', name, CAST(rank AS VARCHAR),
+                     concat(manufacturer, ' ', model)) AS line
+    FROM ({TOP_FLEET})
+    """,
 }
 
 ORACLE_SQL: dict[str, str] = {key: TABLES + body for key, body in BODIES.items()}

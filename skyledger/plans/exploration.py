@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions import departure_gap, flown, in_year, in_year_text
 from skyledger.operators.profiling import difference, repeated_keys, rows_per
@@ -190,6 +191,22 @@ def schema_drift(text: DataFrame, typed: DataFrame, year: int) -> DataFrame:
     )
 
 
+def lost_to_typing(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: per column of ``schema`` the texts that its type turns into nulls."""
+    return text.agg(
+        *(
+            F.count(
+                F.when(
+                    F.col(field.name).isNotNull()
+                    & F.col(field.name).try_cast(field.dataType).isNull(),
+                    1,
+                )
+            ).alias(field.name)
+            for field in schema
+        )
+    )
+
+
 # Dimensions
 
 

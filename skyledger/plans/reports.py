@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The field separator and the label of the report lines.
 FIELD_SEPARATOR = " \t "
 MODEL_LABEL = "Cessna"
+DELAY_FIELDS = ("name", "numOfDelays", "avgDelays", "minDelay", "maxDelay")
 
 
 def model_lines(top: DataFrame) -> DataFrame:
@@ -20,11 +21,9 @@ def model_lines(top: DataFrame) -> DataFrame:
 
 
 def delay_lines(stats: DataFrame) -> DataFrame:
-    fields = ["name", "numOfDelays", "avgDelays", "minDelay", "maxDelay"]
-    return stats.orderBy(*fields).select(
-        F.concat_ws(FIELD_SEPARATOR, *(F.col(f).cast("string") for f in fields)).alias(
-            "line"
-        )
+    fields = (F.col(field).cast("string") for field in DELAY_FIELDS)
+    return stats.orderBy(*DELAY_FIELDS).select(
+        F.concat_ws(FIELD_SEPARATOR, *fields).alias("line")
     )
 
 
@@ -42,3 +41,13 @@ def fleet_lines(ranked: DataFrame) -> DataFrame:
         .orderBy("name")
         .select(F.concat_ws(FIELD_SEPARATOR, "name", "listing").alias("line"))
     )
+
+
+def ranked_lines(ranked: DataFrame) -> DataFrame:
+    """One line per airline and ranked model, for rankings with any number of ties."""
+    model = F.concat_ws(" ", "manufacturer", "model")
+    return ranked.orderBy("name", "rank", "manufacturer", "model").select(
+        F.concat_ws(FIELD_SEPARATOR, "name", F.col("rank").cast("string"), model).alias(
+            "line"
+        )
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.sources.schemas import SCHEDULED
+from skyledger.sources.schemas import FLIGHTS_FILE, MISSPELT_SCHEDULED, SCHEDULED
 
 # The columns used of each test table. Given, so that no read opens
 # files only to infer them.
@@ -101,3 +101,23 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
                      ELSE {_clock('departed')} END AS actual_departure_time""",
         )
     )
+
+
+def flight_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``flights`` with every column of the source file as text, unknown ones null.
+
+    Every 41st date is malformed, as a typed read has to notice.
+    """
+    known = flights(spark, sf_dir).withColumnRenamed(SCHEDULED, MISSPELT_SCHEDULED)
+    date = "date_format(flight_date, 'yyyy-MM-dd')"
+    known = known.selectExpr(
+        "* EXCEPT (flight_date)",
+        f"CASE WHEN flight_id % 41 = 0 THEN concat({date}, '?') ELSE {date} END"
+        " AS flight_date",
+    )
+    return known.selectExpr(
+        *(
+            name if name in known.columns else f"string(NULL) AS {name}"
+            for name in FLIGHTS_FILE.names
+        )
+    )

@@ -13,19 +13,10 @@ from skyledger.sources import schemas
 YEAR_CARRIER = ("year", "carrier_code")
 YEAR_ONLY = ("year",)
 
-# A directory pays off when it holds a file of useful size (the published row caps of
-# the year layout start at 50,000 rows) and the directories stay listable.
-MIN_ROWS_PER_DIRECTORY = 50_000
-MAX_DIRECTORIES = 10_000
-
 # Rows per file unless told otherwise: tens of megabytes, and a year or country of any
 # size is read by several tasks.
 ROWS_PER_FILE = 1_000_000
 
-# Least rows per file and most files for which a row cap is chosen.
-MIN_FILE_ROWS = 500
-MAX_FILES = 10_000
-
 
 def write_partitioned(
     df: DataFrame,
@@ -69,11 +60,6 @@ def read_partitioned(
     return reader.load(path)
 
 
-def capped_rows_per_file(rows: int) -> int:
-    """A row cap that grows with the table, so that the number of files stays bounded."""
-    return max(MIN_FILE_ROWS, -(-rows // MAX_FILES))
-
-
 # Flights by year and carrier
 
 
@@ -81,26 +67,6 @@ def with_year(flights: DataFrame) -> DataFrame:
     return flights.withColumn("year", F.year("flight_date"))
 
 
-def flight_keys(
-    flights: DataFrame,
-    *,
-    min_rows: int = MIN_ROWS_PER_DIRECTORY,
-    max_directories: int = MAX_DIRECTORIES,
-) -> tuple[str, ...]:
-    """Year and carrier while their directories are few and full, else the year alone."""
-    found = (
-        with_year(flights)
-        .agg(
-            F.approx_count_distinct(F.struct(*YEAR_CARRIER)).alias("directories"),
-            F.count(F.lit(1)).alias("rows"),
-        )
-        .first()
-    )
-    few = found["directories"] <= max_directories
-    full = found["rows"] >= min_rows * found["directories"]
-    return YEAR_CARRIER if few and full else YEAR_ONLY
-
-
 def write_flights_by_year(
     flights: DataFrame,
     path: str,
@@ -189,3 +155,21 @@ def read_country_flights(
     schema: T.StructType = schemas.COUNTRY_FLIGHTS,
 ) -> DataFrame:
     return read_partitioned(spark, path, schema, fmt=fmt)
+
+
+def write_country_tail(
+    flights: DataFrame, path: str, *, fmt: str = "parquet"
+) -> None:
+    """Flights by country, every file holding a narrow range of tail numbers.
+
+    Rows are dealt in ranges of country, tail and a hash of the flight, so that a hot
+    country or tail spreads over tasks while a tail stays in few files.
+    """
+    turn = F.xxhash64("flight_id")
+    writer = (
+        flights.repartitionByRange("country", "tail_number", turn)
+        .sortWithinPartitions("country", "tail_number")
+        .write.partitionBy("country")
+        .format(fmt)
+    )
+    (writer.option("header", True) if fmt == "csv" else writer).save(path)

@@ -26,6 +26,15 @@ FLIGHTS_FILE = T.StructType(
     ]
 )
 
+# Columns of the flights that some job needs.
+NEEDED = (
+    "carrier_code",
+    "flight_date",
+    "tail_number",
+    SCHEDULED,
+    "actual_departure_time",
+)
+
 AIRCRAFTS = T.StructType(
     [
         T.StructField("tailnum", T.StringType()),

@@ -50,12 +50,26 @@ def read_table(
 def read_flights(
     spark: SparkSession, path: str, *, fmt: str = "csv", **csv_options: bool
 ) -> DataFrame:
-    """Flights with the misspelt source column renamed."""
+    """Flights with the misspelt source column renamed.
+
+    Parquet may name it either way; a column that the jobs need and the files lack is
+    an error, other missing columns are null.
+    """
+    schema = schemas.FLIGHTS_FILE
     if fmt == "parquet":
-        return read_table(spark, path, schemas.FLIGHTS, fmt=fmt)
-    return read_table(
-        spark, path, schemas.FLIGHTS_FILE, fmt=fmt, **csv_options
-    ).withColumnRenamed(schemas.MISSPELT_SCHEDULED, schemas.SCHEDULED)
+        names = set(spark.read.parquet(path).columns)
+        if schemas.SCHEDULED in names:
+            schema = schemas.FLIGHTS
+        needed = {name for name in schemas.NEEDED if name != schemas.SCHEDULED}
+        needed.add(
+            schemas.SCHEDULED
+            if schemas.SCHEDULED in names
+            else schemas.MISSPELT_SCHEDULED
+        )
+        if missing := sorted(needed - names):
+            raise ValueError(f"{path} lacks {', '.join(missing)}")
+    flights = read_table(spark, path, schema, fmt=fmt, **csv_options)
+    return flights.withColumnRenamed(schemas.MISSPELT_SCHEDULED, schemas.SCHEDULED)
 
 
 def read_aircrafts(

@@ -80,13 +80,37 @@ def test_delays_from_the_year_layout(spark, run, tables, tmp_path):
     out = str(tmp_path / "report")
     main(
         ["delays", "--flights", stored, "--airlines", tables["airlines"], "--layout"]
+        + ["--year", "1996", "--out", out, "--layout-format", "csv"]
+    )
+    assert sorted(lines(spark, out)) == DELAYS
+
+
+def test_layouts_and_reports_by_default(spark, run, tables, tmp_path):
+    by_year = run("layout-flights", "flights")
+    out = str(tmp_path / "delays")
+    main(
+        ["delays", "--flights", by_year, "--airlines", tables["airlines"], "--layout"]
         + ["--year", "1996", "--out", out]
     )
     assert sorted(lines(spark, out)) == DELAYS
+    rollup = run("layout-rollup", "flights", "airlines")
+    out = str(tmp_path / "fleet")
+    main(
+        ["fleet-from-rollup", "--rollup", rollup, "--country", "Canada", "--out", out]
+        + ["--aircrafts", tables["aircrafts"]]
+    )
+    flat = run("fleet", "flights", "airlines", "aircrafts", country="Canada")
+    assert lines(spark, out) == lines(spark, flat)
+    assert lines(spark, flat) == ["Alpha \t 1 \t CESSNA 172M", "Alpha \t 2 \t BOEING 737"]
+
+
+def test_layout_by_year_alone(spark, run):
+    stored = run("layout-flights", "flights", keys="year")
+    assert "carrier_code=" not in spark.read.parquet(stored).inputFiles()[0]
 
 
 def test_fleet(spark, run):
-    out = run("fleet", "flights", "airlines", "aircrafts", country="Canada")
+    out = run("fleet", "flights", "airlines", "aircrafts", country="Canada", ties="exact")
     assert lines(spark, out) == ["Alpha \t [CESSNA 172M, BOEING 737]"]
 
 
@@ -95,7 +119,8 @@ def test_fleet_from_the_country_rollup(spark, run, tables, tmp_path):
     out = str(tmp_path / "report")
     main(
         ["fleet-from-rollup", "--rollup", stored, "--aircrafts", tables["aircrafts"]]
-        + ["--country", "Egypt", "--out", out]
+        + ["--country", "Egypt", "--out", out, "--ties", "exact"]
+        + ["--layout-format", "csv"]
     )
     assert lines(spark, out) == ["Beta \t [CESSNA 550]"]
 

@@ -71,14 +71,6 @@ def test_year_filter_chooses_directories(spark, tmp_path):
     assert all("year=1996" in row.file_path for row in files)
 
 
-def test_keys_depend_on_directory_count_and_size(spark):
-    df = flights(spark)
-    assert layouts.flight_keys(df) == layouts.YEAR_ONLY
-    assert layouts.flight_keys(df, min_rows=1) == layouts.YEAR_CARRIER
-    few = layouts.flight_keys(df, min_rows=1, max_directories=2)
-    assert few == layouts.YEAR_ONLY
-
-
 ROLLUP = [
     ("Alpha", "AA", "N1", 5, "Canada"),
     ("Alpha", "AA", "N2", 2, "Canada"),
@@ -161,12 +153,6 @@ def test_row_cap_per_file(spark, tmp_path):
     assert stored.count() == 10
 
 
-def test_row_cap_keeps_the_number_of_files_bounded():
-    assert layouts.capped_rows_per_file(0) == 500
-    assert layouts.capped_rows_per_file(60_000) == 500
-    assert layouts.capped_rows_per_file(600_000_000_000) == 60_000_000
-
-
 @pytest.mark.parametrize("keys", [layouts.YEAR_CARRIER, layouts.YEAR_ONLY])
 def test_a_hot_directory_is_written_by_several_tasks(spark, tmp_path, keys):
     """One year and carrier hold nearly all rows; adaptive execution splits them."""

@@ -6,6 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from skyledger.catalog import QUERIES
+from skyledger.oracle import ORACLE_SQL
+from skyledger.plans.reports import DELAY_FIELDS
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("nation", "supplier", "part", "lineitem")
@@ -29,10 +32,12 @@ def oracle():
 
 
 def test_every_query_has_sql():
-    assert entry_point.queries().keys() == entry_point.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLE_SQL.items() <= entry_point.oracle_sql().items()
 
 
-@pytest.mark.parametrize("key", entry_point.queries())
+@pytest.mark.parametrize("key", QUERIES)
 def test_query_agrees_with_sql(spark, oracle, key):
     df = entry_point.queries()[key](spark, SF_DIR)
     cursor = oracle.execute(entry_point.oracle_sql()[key])
@@ -50,5 +55,5 @@ def test_query_agrees_with_sql(spark, oracle, key):
 
 def test_entry(spark):
     df = entry_point.entry(spark)
-    assert df.columns == ["name", "numOfDelays", "avgDelays", "minDelay", "maxDelay"]
+    assert df.columns == list(DELAY_FIELDS)
     assert df.count() > 0

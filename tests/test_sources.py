@@ -1,8 +1,6 @@
 from __future__ import annotations
 
 import datetime
-from pathlib import Path
-from types import SimpleNamespace
 
 import pytest
 
@@ -114,6 +112,20 @@ def test_parquet_tables(spark, tmp_path):
         read_table(spark, path, schemas.AIRLINES, fmt="orc")
 
 
+def test_parquet_flights_under_either_name(spark, tmp_path):
+    row = [("AA", datetime.date(1996, 6, 1), "N1", "10:00:00", "10:10:00")]
+    for name in (schemas.MISSPELT_SCHEDULED, schemas.SCHEDULED):
+        columns = f"carrier_code string, flight_date date, tail_number string, {name} string"
+        path = str(tmp_path / name)
+        spark.createDataFrame(row, f"{columns}, actual_departure_time string").write.parquet(path)
+        found = read_flights(spark, path, fmt="parquet").first()
+        assert found[schemas.SCHEDULED] == "10:00:00" and found["flight_id"] is None
+    path = str(tmp_path / "short")
+    spark.createDataFrame([("AA",)], "carrier_code string").write.parquet(path)
+    with pytest.raises(ValueError, match="lacks actual_departure_time, flight_date"):
+        read_flights(spark, path, fmt="parquet")
+
+
 def test_scratch_paths_are_new_and_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
