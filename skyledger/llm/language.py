@@ -70,12 +70,14 @@ def _hashes(points: np.ndarray, order: int) -> np.ndarray:
 # Counting
 
 
-def _some_texts(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _some_texts(
+    column: pa.Array, chars: int = CHARS_AT_ONCE
+) -> Iterator[tuple[int, list[np.ndarray]]]:
     held, size, begin = [], 0, 0
     for row, text in enumerate(column):
         held.append(letters(text.as_py()))
         size += len(held[-1])
-        if size >= CHARS_AT_ONCE:
+        if size >= chars:
             yield begin, held
             held, size, begin = [], 0, row + 1
     if held:
@@ -238,7 +240,8 @@ def _scores(shared: Broadcast):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for begin, texts in _some_texts(batch.column("text")):
+            chars = CHARS_AT_ONCE * 4 // max(4, len(model.langs))
+            for begin, texts in _some_texts(batch.column("text"), chars):
                 size = np.array([len(t) for t in texts])
                 # Every text begins with blanks, so that each of its letters is scored.
                 pad = np.full(ORDER - 1, 32, np.uint32)

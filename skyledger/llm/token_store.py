@@ -6,7 +6,6 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -154,11 +153,12 @@ class Encoder:
         """Ids of all words, one after the other, and where each word's begin."""
         if not len(words):
             return np.zeros(0, "<u4"), np.zeros(1, np.int64)
-        texts = [
-            b"".join(words.slice(k, WORDS_IN_TEXT).cast(pa.binary()).to_pylist()).decode()
-            for k in range(0, len(words), WORDS_IN_TEXT)
-        ]
-        ids = np.fromiter(chain.from_iterable(self._ids(texts)), "<u4")
+        parts = []
+        # The tokenizer's own results are large, so only a text's are held at a time.
+        for k in range(0, len(words), WORDS_IN_TEXT):
+            some = words.slice(k, WORDS_IN_TEXT).cast(pa.binary()).to_pylist()
+            parts += [np.array(x, "<u4") for x in self._ids([b"".join(some).decode()])]
+        ids = np.concatenate(parts)
         begin = np.flatnonzero(self._begins[ids])
         if len(begin) != len(words):
             raise ValueError("the tokenizer does not begin a piece at every word")
