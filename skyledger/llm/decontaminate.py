@@ -163,5 +163,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, in the columns of ``docs``."""
     found = leaks(docs, benchmark).select(F.col("key").alias("leak")).distinct()
-    key = F.xxhash64("doc_id", "text")
-    return docs.join(found, key == F.col("leak"), "left_anti")
+    key = F.xxhash64(docs["doc_id"], docs["text"])
+    return docs.join(found, key == found["leak"], "left_anti")

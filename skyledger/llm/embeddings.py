@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.llm.common import components, stored
 from skyledger.llm.simhash import forest
@@ -150,9 +151,6 @@ def _meeting(cells: Cells, boxes: list) -> Cells:
     return cells
 
 
-_UNIT = "unit long, side int, node long, n long, embedding array<float>"
-
-
 def _unit_rows(cells: Cells):
     """Each vector once for every unit, a pair of cells of one block that may meet."""
 
@@ -283,10 +281,12 @@ def _linked(classes: DataFrame, size: int) -> DataFrame | None:
         .collect()
     )
     cells = _meeting(cells, boxes)
+    vector = classes.schema["embedding"].dataType.simpleString()
+    unit = f"unit long, side int, node long, n long, embedding {vector}"
     share = F.shiftrightunsigned(F.xxhash64("node", F.lit("share")), 1)
     return (
         own.select("node", "n", "embedding", share.alias("share"))
-        .mapInArrow(_unit_rows(cells), _UNIT)
+        .mapInArrow(_unit_rows(cells), unit)
         .groupBy("unit")
         .applyInArrow(_met(cells), "a long, b long, links long")
     )
@@ -295,7 +295,8 @@ def _linked(classes: DataFrame, size: int) -> DataFrame | None:
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row for each row of ``vectors``.
 
-    Two vectors link at a cosine of ``LEAST_COSINE`` and more, in double precision.
+    Two vectors link at a cosine of ``LEAST_COSINE`` and more, in double precision;
+    components are taken as they are, floats or doubles.
     Unit vectors are rotated and cut into ``BLOCKS`` subspaces; a pair within the
     squared distance of that cosine is, in some block, within the block's proportional
     share. Each block is therefore joined by itself: its cells meet where their boxes
@@ -319,13 +320,14 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         )
         & F.exists("embedding", lambda x: x != 0)
     )
-    floats = F.col("embedding").cast("array<float>")
+    single = vectors.schema["embedding"].dataType.elementType == T.FloatType()
+    values = F.col("embedding").cast("array<float>" if single else "array<double>")
     rows = stored(
         vectors.select(
             "vec_id",
-            F.when(usable, F.xxhash64(floats)).alias("first"),
-            F.when(usable, F.xxhash64(F.lit("second"), floats)).alias("second"),
-            F.when(usable, floats).alias("embedding"),
+            F.when(usable, F.xxhash64(values)).alias("first"),
+            F.when(usable, F.xxhash64(F.lit("second"), values)).alias("second"),
+            F.when(usable, values).alias("embedding"),
         ),
         "vectors",
     )

@@ -15,9 +15,9 @@ from skyledger.llm.common import stored
 
 ORDER = 4
 
-# Most frequent sequences that a language's model keeps and most languages; they bound
-# the model that every task holds. All training texts are counted.
-MODEL_SEQUENCES = 100_000
+# Most frequent sequences that the models keep, shared equally by the languages, and most
+# languages; they bound what every task holds. All training texts are counted.
+MODEL_SEQUENCES = 400_000
 MOST_LANGUAGES = 200
 
 # Texts as unlike their language as this many standard deviations of texts of their
@@ -224,7 +224,7 @@ def _trained(docs: DataFrame) -> Model:
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "sequence")
     kept = (
         counted.withColumn("place", F.row_number().over(by_count))
-        .filter(F.col("place") <= MODEL_SEQUENCES)
+        .filter(F.col("place") <= MODEL_SEQUENCES // max(1, len(langs)))
         .select("lang", "sequence", "n")
     )
     numbers = {lang: k for k, lang in enumerate(sorted(langs))}
@@ -365,4 +365,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is recognised, in the columns of ``docs``."""
     rejected = identify(docs).filter("rejected").select(F.col("key").alias("no")).distinct()
-    return docs.join(rejected, F.xxhash64("doc_id", "text") == F.col("no"), "left_anti")
+    key = F.xxhash64(docs["doc_id"], docs["text"])
+    return docs.join(rejected, key == rejected["no"], "left_anti")

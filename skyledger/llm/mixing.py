@@ -136,17 +136,18 @@ def plan(
     belongs to the block it begins in. All draws are seeded, so reruns agree.
 
     A null text has no words. Documents without a source are a source of their own,
-    documents without a doc_id come first. Rows alike in doc_id, source and size are
-    interchangeable. An empty table gives an empty result. Running totals are taken
+    documents without a doc_id take their place by their text. Rows alike in doc_id,
+    source and size are interchangeable. An empty table gives an empty result. Running totals are taken
     within 65,536 sections of a source, so that no task gathers a large one.
     """
+    turn = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
     rows = docs.select(
-        F.struct(*carried).alias("doc"),
+        F.struct(*(F.col(f"`{name}`") for name in carried)).alias("doc"),
         F.col("source"),
         # Never null, so that plain joins find it.
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("of"),
         word_count(F.col("text")).alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("turn"),
+        F.md5(turn.cast("binary")).alias("turn"),
         F.col("doc_id").alias("turn_id"),
     ).withColumn("section", F.substring("turn", 1, 4))
     sections = rows.groupBy("of", "section").agg(
@@ -210,11 +211,23 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     A document that the end of its source's target cuts keeps its first words, joined
     by one space. ``mixed_shards`` has the shards.
     """
-    return mixed_shards(docs, **settings).select(*docs.columns)
+    taken, columns = _taken(docs, settings)
+    return taken.select(*columns)
 
 
 def mixed_shards(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` as mixed, with ``mix_shard`` and ``mix_order``, its order in the shard."""
+    """``docs`` as mixed, with ``mix_shard`` and ``mix_order``, its order in the shard,
+    in place of columns of these names."""
+    taken, columns = _taken(docs.drop("mix_shard", "mix_order"), settings)
+    return taken.select(
+        *columns,
+        F.col("piece.shard").alias("mix_shard"),
+        F.col("piece.order").alias("mix_order"),
+    )
+
+
+def _taken(docs: DataFrame, settings: dict) -> tuple[DataFrame, list[Column]]:
+    """A row for each piece, and the columns of ``docs`` in terms of it."""
     taken = plan(docs, *docs.columns, **settings).select(
         "doc", "size", F.explode("pieces").alias("piece")
     )
@@ -225,11 +238,7 @@ def mixed_shards(docs: DataFrame, **settings) -> DataFrame:
         text.alias(name) if name == "text" else F.col(f"doc.`{name}`").alias(name)
         for name in docs.columns
     ]
-    return taken.select(
-        *columns,
-        F.col("piece.shard").alias("mix_shard"),
-        F.col("piece.order").alias("mix_order"),
-    )
+    return taken, columns
 
 
 def write_shards(docs: DataFrame, path: str, **settings) -> None:

@@ -117,7 +117,7 @@ ORACLE_SQL: dict[str, str] = {
         WITH sized AS (
             SELECT doc_id, source,
                 len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                md5(coalesce(doc_id::VARCHAR, '')) AS turn
+                md5(coalesce(doc_id::VARCHAR, text, '')) AS turn
             FROM documents),
         sources AS (
             SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),

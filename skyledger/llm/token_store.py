@@ -281,10 +281,11 @@ def write_segments(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     A null text counts as empty; repeated rows are written repeatedly, those of one
     doc_id in order of a hash of their text; an empty table gives no segment.
     """
+    # The hash deals a doc_id that many rows share, null above all, over several parts.
     ordered = (
-        docs.select("doc_id", "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
+        docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+        .repartitionByRange("doc_id", "hash")
+        .sortWithinPartitions("doc_id", "hash")
     )
     schema = "part int, number long, n_ids long, data binary"
     segments = ordered.mapInArrow(_segments(tokenizer or vocabulary()), schema)

@@ -36,7 +36,8 @@ from skyledger.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "size int, key string, words array<string>, fingerprint string, `of` int"
+    "size int, key string, words array<string>, fingerprint string, `of` int, "
+    "leak int, `no` int, piece int, mix_shard int"
 )
 VOCABULARY = [f"w{k}" for k in range(60)] + ["Ärger", "naïve", "日本", "a", "a"]
 
@@ -77,7 +78,7 @@ def odd_rows():
     rows = [(k, t, langs[k % 3], f"s{k % 4}", 1) for k, t in enumerate(texts)]
     rows += [rows[5], rows[5], rows[11], (None, "no id here", None, None, None)]
     rows += [(None, long, "en", None, 0), (100, text_of(rng, 50), "en", None, 2)]
-    return [(*r, 7, "k", ["x"], "f", 3) for r in rows]
+    return [(*r, 7, "k", ["x"], "f", 3, 1, 2, 4, 5) for r in rows]
 
 
 @pytest.fixture(scope="module")
@@ -172,6 +173,9 @@ def test_mixing(odd, odd_rows, empty):
     assert ordered(again) == ordered(found)
     assert mixing.plan(empty, "doc_id").collect() == []
     assert mixing.mix(odd).columns == odd.columns
+    shards = mixing.mixed_shards(odd, shards=8)
+    assert sorted(shards.columns) == sorted({*odd.columns, "mix_order"})
+    assert {r["mix_shard"] for r in shards.collect()} <= set(range(8))
 
 
 def test_shards_are_equally_large(spark):
@@ -369,6 +373,15 @@ def test_embeddings(spark, monkeypatch):
     assert embeddings.near_duplicates(vectors.limit(0)).collect() == []
 
 
+def test_embeddings_of_doubles_are_not_rounded(spark):
+    # Cosines of 0.9 and a hair less or more, told apart by doubles alone.
+    rows = [(k, [0.9 + d, (1 - (0.9 + d) ** 2) ** 0.5]) for k, d in ((1, -1e-12), (2, 1e-12))]
+    rows.append((0, [1.0, 0.0]))
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    links = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(vectors).collect()}
+    assert links == {0: 1, 1: 1, 2: 2}
+
+
 @pytest.mark.parametrize("key", ORACLE_SQL)
 def test_query_agrees_with_sql(spark, key):
     with duckdb.connect() as connection:
@@ -390,6 +403,27 @@ def test_pipeline_stages_on_odd_rows(spark, odd):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == docs.count()
 
 
+def test_pipeline_stages_on_no_rows(spark, empty):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF_DIR).collect() == []
+
+
+def test_rows_without_an_id_are_dealt_over_parts(spark):
+    rng = random.Random(8)
+    rows = [(None, text_of(rng, 20), "s") for _ in range(400)] + [(1, "x", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        segments = token_store.write_segments(docs)
+    finally:
+        spark.conf.unset(merging)
+    assert segments.select("part").distinct().count() > 1
+    found = token_store.read_documents(segments).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == [None] * 400 + [1]
+    assert mixing.plan(docs, "doc_id").count() == 401
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     found = corpus_pipeline.run(spark, SF_DIR).collect()
