@@ -115,6 +115,13 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     )
 
 
+def _sum_before(value: str, keys: list[str], *order: str) -> Column:
+    """The sum of ``value`` over the rows of the same keys that come before."""
+    before = Window.partitionBy(*keys).orderBy(*order)
+    total = F.sum(value).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    return F.coalesce(total, F.lit(0))
+
+
 def plan(
     docs: DataFrame,
     *carried: str,
@@ -137,8 +144,9 @@ def plan(
 
     A null text has no words. Documents without a source are a source of their own,
     documents without a doc_id take their place by their text. Rows alike in doc_id,
-    source and size are interchangeable. An empty table gives an empty result. Running totals are taken
-    within 65,536 sections of a source, so that no task gathers a large one.
+    source and size are interchangeable. An empty table gives an empty result.
+    Running totals are taken within sections of a source, sections of a chapter and
+    chapters of a source, so that no task gathers a large source.
     """
     turn = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
     rows = docs.select(
@@ -161,29 +169,24 @@ def plan(
     targets = targets.withColumn("words", words).withColumn(
         "quota", F.ceil(F.col("words") / block_words).cast("long")
     )
-    before = (
-        Window.partitionBy("of")
-        .orderBy("section")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # Running totals of a source's 256 chapters, then of a chapter's 256 sections.
+    sections = sections.withColumn("chapter", F.substring("section", 1, 2))
+    chapters = sections.groupBy("of", "chapter").agg(F.sum("words_in").alias("words_in"))
+    chapters = chapters.select(
+        "of", "chapter", _sum_before("words_in", ["of"], "chapter").alias("chapter_before")
     )
+    in_chapter = _sum_before("words_in", ["of", "chapter"], "section")
     info = (
-        sections.select(
-            "of",
-            "section",
-            F.coalesce(F.sum("words_in").over(before), F.lit(0)).alias("words_before"),
-        )
+        sections.select("of", "chapter", "section", in_chapter.alias("words_before"))
+        .join(chapters, ["of", "chapter"])
+        .withColumn("words_before", F.col("words_before") + F.col("chapter_before"))
+        .drop("chapter", "chapter_before")
         .join(targets.drop("source"), "of")
         .join(shard_quotas(targets.select("of", "quota"), shards, seed), "of")
     )
-    in_section = (
-        Window.partitionBy("of", "section")
-        .orderBy("turn", "turn_id", "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    in_section = _sum_before("size", ["of", "section"], "turn", "turn_id", "size")
     # The only shuffle of the documents serves both the window and the join.
-    placed = rows.withColumn(
-        "within", F.coalesce(F.sum("size").over(in_section), F.lit(0))
-    ).join(info, ["of", "section"])
+    placed = rows.withColumn("within", in_section).join(info, ["of", "section"])
     begin = F.col("words_before") + F.col("within")
 
     def piece(k: int) -> Column:
