@@ -52,13 +52,38 @@ def canonical(word: Column) -> Column:
     )
 
 
-def windows(words: str, canon: str) -> Column:
-    """Hashes of the template windows, in order; none for fewer words than one."""
+def plain(word: Column) -> Column:
+    """A marked word with its slot value left out, unless it is a name: case says nothing."""
+    return canonical(F.when(F.startswith(word, F.lit("§n")), F.substring(word, 3, 1 << 20)).otherwise(word))
+
+
+def value(word: Column) -> Column:
+    """A marked word without its mark."""
+    return F.regexp_replace(word, "^§[nd]", "")
+
+
+def windows(words: str, canon: str, bare: str) -> Column:
+    """(pos, window, named): hashes of the template windows and, where one has a name, of
+    the same words with the name kept in lower case; none for fewer words than one."""
+
+    def hashed(source: str, named: bool):
+        return lambda k: F.struct(
+            (k - 1).alias("pos"),
+            F.xxhash64(F.slice(source, k, WINDOW_WORDS)).alias("window"),
+            F.lit(named).alias("named"),
+        )
+
+    places = F.sequence(F.lit(1), F.size(words) - (WINDOW_WORDS - 1))
+    with_name = F.filter(
+        places, lambda k: F.array_contains(F.slice(canon, k, WINDOW_WORDS), "§n")
+    )
     return F.when(
         F.size(words) >= WINDOW_WORDS,
-        F.transform(
-            F.sequence(F.lit(1), F.size(words) - (WINDOW_WORDS - 1)),
-            lambda k: F.xxhash64(F.slice(canon, k, WINDOW_WORDS)),
+        F.concat(
+            F.transform(places, hashed(canon, False)),
+            F.when(
+                F.array_contains(canon, "§n"), F.transform(with_name, hashed(bare, True))
+            ).otherwise(F.array().cast("array<struct<pos:int,window:bigint,named:boolean>>")),
         ),
     )
 
@@ -67,14 +92,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, changed) of documents that hold a benchmark item.
 
     Both texts become templates: numbers, names and units turn into typed placeholders.
-    Windows of ``WINDOW_WORDS`` template words are joined by hash; a match votes for
+    Windows of ``WINDOW_WORDS`` template words are joined by hash, and so are the same
+    words with names in lower case, for texts in another case; a match of either votes for
     its diagonal, and close diagonals are one occurrence. It counts if it has
     ``LEAST_SHARE`` of the item's windows and its slots are consistent: where the item
     repeats a value, the document repeats the value it put there. ``changed`` tells
     that some slot holds another value, a re-parameterised question.
 
     Windows with fewer than ``LEAST_LITERAL`` plain words say too little and are left
-    out; an item without any other window matches nothing, as do null and empty texts.
+    out. The share is of the places whose template window says enough or of those where
+    either window does, whichever is larger; an item without any other window matches nothing, as do null and empty texts.
     Repeated rows are reported once, an item listed twice under both ids; other columns
     are ignored and empty tables give an empty result.
     """
@@ -83,42 +110,70 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         benchmark.select("item_id", marked_words(F.col("text")).alias("words"))
         .filter(F.size("words") >= WINDOW_WORDS)
         .withColumn("canon", F.transform("words", canonical))
+        .withColumn("bare", F.transform("words", plain))
         .distinct()
     )
-    literal = F.size(
-        F.filter(
-            F.slice("canon", F.col("at") + 1, WINDOW_WORDS),
-            lambda w: ~F.startswith(w, F.lit("§")),
+
+    def literal(words: str) -> Column:
+        return F.size(
+            F.filter(
+                F.slice(words, F.col("place.pos") + 1, WINDOW_WORDS),
+                lambda w: ~F.startswith(w, F.lit("§")),
+            )
         )
-    )
+
+    strong = literal("canon") >= LEAST_LITERAL
     item_windows = (
-        items.select("item_id", "canon", F.posexplode(windows("words", "canon")).alias("at", "window"))
-        .filter(literal >= LEAST_LITERAL)
-        .select("item_id", "at", "window")
+        items.select(
+            "item_id", "canon", "bare", F.explode(windows("words", "canon", "bare")).alias("place")
+        )
+        .filter(F.when(F.col("place.named"), literal("bare") >= LEAST_LITERAL).otherwise(strong))
+        .select(
+            "item_id", F.col("place.pos").alias("at"), "place.window", strong.alias("strong")
+        )
+    )
+    strong_at = F.when(F.col("strong"), F.col("at"))
+    sizes = item_windows.groupBy("item_id").agg(
+        F.count_distinct("at").alias("of"), F.count_distinct(strong_at).alias("of_strong")
     )
-    sizes = item_windows.groupBy("item_id").agg(F.count(F.lit(1)).alias("of"))
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     matches = (
         keyed.select("key", "doc_id", marked_words(F.col("text")).alias("words"))
-        .select("key", "doc_id", "words", F.transform("words", canonical).alias("canon"))
-        .select("key", "doc_id", F.posexplode(windows("words", "canon")).alias("pos", "window"))
+        .select(
+            "key",
+            "doc_id",
+            "words",
+            F.transform("words", canonical).alias("canon"),
+            F.transform("words", plain).alias("bare"),
+        )
+        .select("key", "doc_id", F.explode(windows("words", "canon", "bare")).alias("place"))
+        .select("key", "doc_id", "place.pos", "place.window")
         .join(item_windows, "window")
-        .select("key", "doc_id", "item_id", "at", "pos", (F.col("pos") - F.col("at")).alias("diagonal"))
+        .withColumn("diagonal", F.col("pos") - F.col("at"))
         .groupBy("key", "doc_id", "item_id", "diagonal")
-        .agg(F.collect_set("at").alias("ats"))
+        .agg(F.collect_set("at").alias("ats"), F.collect_set(strong_at).alias("strong_ats"))
     )
     by_diagonal = Window.partitionBy("key", "doc_id", "item_id").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > NEIGHBOURS
+
+    def different(ats: str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(ats))))
+
+    similarity = F.greatest(
+        F.col("n") / F.col("of"),
+        F.when(F.col("of_strong") > 0, F.col("n_strong") / F.col("of_strong")),
+    )
     found = (
         matches.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
         .withColumn("span", F.sum("new").over(by_diagonal))
         .groupBy("key", "doc_id", "item_id", "span")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("n"),
+            different("ats").alias("n"),
+            different("strong_ats").alias("n_strong"),
             F.collect_list(F.struct("diagonal", "ats")).alias("places"),
         )
         .join(sizes, "item_id")
-        .withColumn("similarity", F.col("n") / F.col("of"))
+        .withColumn("similarity", similarity)
         .filter(F.col("similarity") >= LEAST_SHARE)
         .select("key", "doc_id", "item_id", "span", "similarity", "places")
     )
@@ -131,7 +186,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .join(
             items.select("item_id", F.posexplode("words").alias("at", "word"))
             .filter(slot | F.col("word").isin(NUMBER_WORDS + UNITS))
-            .withColumnRenamed("word", "asked"),
+            .select("item_id", "at", value(F.col("word")).alias("asked")),
             ["item_id", "at"],
         )
     )
@@ -140,7 +195,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         slots.join(
             texts.select("key", marked_words(F.col("text")).alias("words")).distinct(), "key"
         )
-        .withColumn("given", F.get("words", F.col("diagonal") + F.col("at")))
+        .withColumn("given", value(F.get("words", F.col("diagonal") + F.col("at"))))
         .groupBy("key", "item_id", "span")
         .agg(
             F.count_distinct("asked").alias("n_asked"),

@@ -313,6 +313,19 @@ def test_leaks(spark, odd, empty):
     assert decontaminate.decontaminate(odd, items.limit(0)).count() == odd.count()
 
 
+def test_leaks_in_another_case(spark):
+    question = "the old ferry of Anna Berg leaves the harbour with Tom Lind before the storm reaches land"
+    items = [(1, question), (2, question.title())]
+    texts = [question.upper(), question.title(), question.lower(), question]
+    rows = list(enumerate(f"Some words first. {t} and more" for t in texts))
+    found = decontaminate.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    pairs = {(r["doc_id"], r["item_id"]): (r["similarity"], r["changed"]) for r in found}
+    assert pairs == {(d, i): (1.0, False) for d in range(4) for i in (1, 2)}
+
+
 def test_urls(spark):
     rules = [("net/", "block"), ("example.net/en/", "allow"), ("net/", "allow")]
     listed = spark.createDataFrame(rules, "rule string, verdict string")
