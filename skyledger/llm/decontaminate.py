@@ -11,7 +11,7 @@ LEAST_SHARE = 0.8
 # A window must hold this many words that are no placeholders.
 LEAST_LITERAL = 3
 
-# Diagonals this close are one occurrence with words put in or left out.
+# Diagonals this close are one span with words put in or left out.
 NEIGHBOURS = 3
 
 # Numbers and units that are written as words.
@@ -94,10 +94,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Both texts become templates: numbers, names and units turn into typed placeholders.
     Windows of ``WINDOW_WORDS`` template words are joined by hash, and so are the same
     words with names in lower case, for texts in another case; a match of either votes for
-    its diagonal, and close diagonals are one occurrence. It counts if it has
-    ``LEAST_SHARE`` of the item's windows and its slots are consistent: where the item
-    repeats a value, the document repeats the value it put there. ``changed`` tells
-    that some slot holds another value, a re-parameterised question.
+    its diagonal, and close diagonals are one span. Its slots must be consistent: where
+    the item repeats a value, the span repeats the value it put there. An item is held if
+    the consistent spans of a document together have ``LEAST_SHARE`` of its windows, so
+    that words put in or sentences swapped lose no more than the windows they break.
+    ``changed`` tells that the spans with the item's own values do not have that share
+    alone, a re-parameterised question.
 
     Windows with fewer than ``LEAST_LITERAL`` plain words say too little and are left
     out. The share is of the places whose template window says enough or of those where
@@ -159,23 +161,35 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def different(ats: str) -> Column:
         return F.size(F.array_distinct(F.flatten(F.collect_list(ats))))
 
-    similarity = F.greatest(
-        F.col("n") / F.col("of"),
-        F.when(F.col("of_strong") > 0, F.col("n_strong") / F.col("of_strong")),
-    )
-    found = (
+    def held(n: str, n_strong: str) -> Column:
+        return F.greatest(
+            F.col(n) / F.col("of"),
+            F.when(F.col("of_strong") > 0, F.col(n_strong) / F.col("of_strong")),
+        )
+
+    similarity = held("n", "n_strong")
+    pair = ["key", "doc_id", "item_id"]
+    spans = (
         matches.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
         .withColumn("span", F.sum("new").over(by_diagonal))
-        .groupBy("key", "doc_id", "item_id", "span")
+        .groupBy(*pair, "span")
+        .agg(
+            F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"),
+            F.array_distinct(F.flatten(F.collect_list("strong_ats"))).alias("strong_ats"),
+            F.collect_list(F.struct("diagonal", "ats")).alias("places"),
+        )
+    )
+    # A pair whose spans do not reach the share together needs no look at its slots.
+    found = (
+        spans.groupBy(*pair)
         .agg(
             different("ats").alias("n"),
             different("strong_ats").alias("n_strong"),
-            F.collect_list(F.struct("diagonal", "ats")).alias("places"),
+            F.collect_list(F.struct("span", "ats", "strong_ats", "places")).alias("spans"),
         )
         .join(sizes, "item_id")
-        .withColumn("similarity", similarity)
-        .filter(F.col("similarity") >= LEAST_SHARE)
-        .select("key", "doc_id", "item_id", "span", "similarity", "places")
+        .filter(similarity >= LEAST_SHARE)
+        .select(*pair, "of", "of_strong", F.inline("spans"))
     )
     place = F.explode("places").alias("place")
     slots = (
@@ -203,15 +217,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.max((F.col("asked") != F.col("given")).cast("int")).alias("changed"),
         )
     )
+    own = F.coalesce("changed", F.lit(0)) == 0
     return (
         found.drop("places")
         .join(filled, ["key", "item_id", "span"], "left")
         .filter(F.col("n_pairs").isNull() | (F.col("n_pairs") <= F.col("n_asked")))
-        .groupBy("key", "doc_id", "item_id")
+        .withColumn("own_ats", F.when(own, F.col("ats")))
+        .withColumn("own_strong_ats", F.when(own, F.col("strong_ats")))
+        .groupBy(*pair, "of", "of_strong")
         .agg(
-            F.max("similarity").alias("similarity"),
-            (F.min(F.coalesce("changed", F.lit(0))) == 1).alias("changed"),
+            different("ats").alias("n"),
+            different("strong_ats").alias("n_strong"),
+            different("own_ats").alias("n_own"),
+            different("own_strong_ats").alias("n_own_strong"),
+        )
+        .select(
+            *pair,
+            similarity.alias("similarity"),
+            (held("n_own", "n_own_strong") < LEAST_SHARE).alias("changed"),
         )
+        .filter(F.col("similarity") >= LEAST_SHARE)
     )
 
 

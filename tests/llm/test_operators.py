@@ -326,6 +326,23 @@ def test_leaks_in_another_case(spark):
     assert pairs == {(d, i): (1.0, False) for d in range(4) for i in (1, 2)}
 
 
+def test_leaks_in_parts(spark):
+    first, second = ([f"{c}{k}" for k in "abcdefghijklmnopqrstuvwxyzäöüß"] for c in "xy")
+    words = [*first, *second]
+    gap = ["page", "break", "of", "the", "book"]
+    texts = [[*first, *gap, *second], [*second, *gap, *first], [*first, *gap, *second[:9]]]
+    rows = [(k, " ".join(["see", *t, "end"])) for k, t in enumerate(texts)]
+    found = decontaminate.leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame([(1, " ".join(words))], "item_id long, text string"),
+    ).collect()
+    assert len(words) == 60
+    assert {(r["doc_id"], r["similarity"], r["changed"]) for r in found} == {
+        (0, 52 / 56, False),
+        (1, 52 / 56, False),
+    }
+
+
 def test_urls(spark):
     rules = [("net/", "block"), ("example.net/en/", "allow"), ("net/", "allow")]
     listed = spark.createDataFrame(rules, "rule string, verdict string")
