@@ -70,6 +70,10 @@ for _name, _members in ALPHABETS.items():
     _ALPHABET_ROWS[_name] = _row
 
 
+# Pieces of a stretch in base64, in base64url and without any separator.
+_PIECES = [re.compile(p) for p in (rb"[^_-]+", rb"[^+/]+", rb"[^+/_-]+")]
+
+
 def _runs(inside: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Maximal stretches of true values, of ``least`` and more."""
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
@@ -110,6 +114,40 @@ def battery(string: bytes) -> tuple[str, float] | None:
     return encoding, min(1.0, 3 * min(uniform, runs, serial))
 
 
+def _parts(whole: bytes, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """A stretch cut at every = that does not end it, which no alphabet holds."""
+    last = a + len(whole[a:b].rstrip(b"="))
+    for part in re.finditer(rb"[^=]+", whole[a:last]):
+        end = a + part.end()
+        yield a + part.start(), b if end == last else end
+
+
+def _candidates(whole: bytes, a: int, b: int) -> list[tuple[int, int, str, float]]:
+    """(start, end, encoding, p) of the strings to control in a stretch without inner =.
+
+    The stretch itself, if an alphabet has it. Where none has or a test speaks against
+    it, also its longest pieces in the alphabets without some of the separators, unless
+    within a piece that passes.
+    """
+    tested = battery(whole[a:b])
+    found = [(a, b, *tested)] if tested else []
+    if tested and tested[1] >= SIGNIFICANCE:
+        return found
+    passed: list[tuple[int, int]] = []
+    for pattern in _PIECES:
+        for piece in pattern.finditer(whole, a, b):
+            start, end = piece.span()
+            seen = any(f[:2] == (start, end) for f in found)
+            if end - start < LEAST_RANDOM or seen or any(x <= start and end <= y for x, y in passed):
+                continue
+            tested = battery(whole[start:end])
+            if tested:
+                found.append((start, end, *tested))
+                if tested[1] >= SIGNIFICANCE:
+                    passed.append((start, end))
+    return found
+
+
 def _length_class(n: int) -> int:
     return sum(n >= end for end in LENGTH_CLASSES)
 
@@ -153,21 +191,26 @@ def _scan_texts(texts: list[bytes]) -> dict[str, list]:
         covered[a] += 1
         covered[b] -= 1
     covered = np.cumsum(covered)
-    for a, b in _runs(kind > 0, LEAST_RANDOM):
-        tested = battery(whole[a:b]) if not covered[a:b].any() else None
-        if tested:
-            doc, first, last = place(a, b)
-            out["strings"][doc].append(
-                {
-                    "start": first,
-                    "end": last,
-                    "length_class": _length_class(b - a),
-                    "encoding": tested[0],
-                    "p_random": tested[1],
-                    "pairs": b - a - 1,
-                    "changes": int(change[a : b - 1].sum()),
-                }
-            )
+    strings = (
+        string
+        for stretch in _runs(kind > 0, LEAST_RANDOM)
+        for a, b in _parts(whole, *stretch)
+        if b - a >= LEAST_RANDOM and not covered[a:b].any()
+        for string in _candidates(whole, a, b)
+    )
+    for a, b, encoding, p_random in strings:
+        doc, first, last = place(a, b)
+        out["strings"][doc].append(
+            {
+                "start": first,
+                "end": last,
+                "length_class": _length_class(b - a),
+                "encoding": encoding,
+                "p_random": p_random,
+                "pairs": b - a - 1,
+                "changes": int(change[a : b - 1].sum()),
+            }
+        )
     return out
 
 
@@ -246,7 +289,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     ``base_spans`` are the base patterns' matches, leftmost and non-overlapping per kind,
     as (start, kind number, end) in code points; ``spans`` also holds random strings
     (kind 3). A string is a longest stretch of ``LEAST_RANDOM`` and more letters,
-    digits and ``+/_-=`` that no base span touches. It is reported if ordinary text
+    digits and ``+/_-``, with the ``=`` that end it, that no base span touches; if no
+    alphabet has it or it fails the battery, its longest pieces between ``-_``, ``+/``
+    or any of these are strings as well. It is reported if ordinary text
     would hardly switch so often between kinds of characters (the rate is counted over
     all words of the corpus), by a Benjamini-Hochberg control within its length class
     over all strings of the corpus, and if no test of the battery speaks against its
