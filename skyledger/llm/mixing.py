@@ -211,8 +211,8 @@ def plan(
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """The mixed documents in the columns of ``docs``, each as often as it is taken.
 
-    A document that the end of its source's target cuts keeps its first words, joined
-    by one space. ``mixed_shards`` has the shards.
+    Documents are whole: one that the end of its source's target cuts is taken if that is
+    nearer to the target than leaving it out. ``mixed_shards`` has the shards.
     """
     taken, columns = _taken(docs, settings)
     return taken.select(*columns)
@@ -230,18 +230,11 @@ def mixed_shards(docs: DataFrame, **settings) -> DataFrame:
 
 
 def _taken(docs: DataFrame, settings: dict) -> tuple[DataFrame, list[Column]]:
-    """A row for each piece, and the columns of ``docs`` in terms of it."""
+    """A row for each document that is taken, and the columns of ``docs`` in terms of it."""
     taken = plan(docs, *docs.columns, **settings).select(
         "doc", "size", F.explode("pieces").alias("piece")
-    )
-    words = F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.slice(words, F.lit(1), F.col("piece.words").cast("int")), " ")
-    text = F.when(F.col("piece.words") < F.col("size"), cut).otherwise(F.col("doc.text"))
-    columns = [
-        text.alias(name) if name == "text" else F.col(f"doc.`{name}`").alias(name)
-        for name in docs.columns
-    ]
-    return taken, columns
+    ).filter(F.col("piece.words") * 2 >= F.col("size"))
+    return taken, [F.col(f"doc.`{name}`").alias(name) for name in docs.columns]
 
 
 def write_shards(docs: DataFrame, path: str, **settings) -> None:
