@@ -57,9 +57,11 @@ def judge(
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict), a row for each page.
 
-    ``listed`` has ``rule``, a host and a path that ends in a slash (``net/``), and
-    ``verdict``. A rule fits its host and all subdomains where the page's path starts
-    with the rule's; the longest rule wins, of equally long ones the last in order of
+    ``listed`` has ``rule``, a host in lower case and a path, and ``verdict``. A path that
+    ends in a slash (``net/``) fits its host and all subdomains where the page's path
+    starts with the rule's; any other (``net/x.html``) is a page and fits exactly this
+    host and path. Rules of another form, without a path or with a query, are an error;
+    null rules are ignored. The longest rule wins, of equally long ones the last in order of
     text, and of two verdicts for one rule the last (block). Where none fits the
     verdict is ``default`` and the rule is null.
 
@@ -71,14 +73,17 @@ def judge(
     """
     listed = (
         listed.select(F.col("rule").alias("key"), "verdict")
-        .filter(F.col("key").rlike("^[^/]+/(.*/)?$"))
+        .filter(F.col("key").isNotNull())
         .groupBy("key")
         .agg(F.max("verdict").alias("verdict"))
     )
     depth = listed.agg(
         F.max(F.size(F.split(F.substring_index("key", "/", 1), r"\."))),
         F.max(F.size(F.split("key", "/")) - 1),
+        F.max(F.when(~F.col("key").rlike("^[^/?#A-Z]+/[^?#]*$"), F.col("key"))),
     ).first()
+    if depth[2] is not None:
+        raise ValueError(f"no host in lower case and path: {depth[2]!r}")
     labels, folders = depth[0] or 1, depth[1] or 1
     parted = pages.select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
@@ -97,6 +102,8 @@ def judge(
     keys = F.flatten(
         F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p)))
     )
+    page = F.when(~F.endswith("path", F.lit("/")), F.array(F.concat("host", "path")))
+    keys = F.concat(keys, F.coalesce(page, F.array().cast("array<string>")))
     bits = _lane_bits(F.col("key"))
     hits = (
         parted.filter((F.col("host") != "") & (slashes > 0))
