@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import stored
 
 ORDER = 4
 
-# Most frequent sequences that the models keep, shared equally by the languages, and most
-# languages; they bound what every task holds. All training texts are counted.
+# Models of so many counted sequences, and so many sequences times languages, at most are
+# sent to every task. Larger ones stay tables, joined to the texts' sequences. Both keep
+# all sequences of all languages and score alike.
 MODEL_SEQUENCES = 400_000
-MOST_LANGUAGES = 200
+MODEL_CELLS = 4_000_000
 
 # Texts as unlike their language as this many standard deviations of texts of their
 # length, and this many nats per character at least, are rejected. Foreign text costs
@@ -204,33 +207,23 @@ class Model:
         return out
 
 
-def _trained(docs: DataFrame) -> Model:
-    """The model of (lang, text); at most ``MOST_LANGUAGES``, those with most rows."""
-    langs = [
-        row["lang"]
-        for row in docs.groupBy("lang")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MOST_LANGUAGES)
-        .collect()
-    ]
+def _counted(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(lang, sequence, n) of all sequences of (lang, text), and all languages in order."""
+    langs = sorted(row["lang"] for row in docs.select("lang").distinct().collect())
     counted = (
-        docs.filter(F.col("lang").isin(langs))
-        .select("lang", "text")
+        docs.select("lang", "text")
         .mapInArrow(_sequence_rows, "lang string, sequence string, n long")
         .groupBy("lang", "sequence")
         .agg(F.sum("n").alias("n"))
     )
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "sequence")
-    kept = (
-        counted.withColumn("place", F.row_number().over(by_count))
-        .filter(F.col("place") <= MODEL_SEQUENCES // max(1, len(langs)))
-        .select("lang", "sequence", "n")
-    )
-    numbers = {lang: k for k, lang in enumerate(sorted(langs))}
-    found = kept.toArrow().to_pydict()
+    return stored(counted, "language-counts"), langs
+
+
+def _model(counted: DataFrame, langs: list[str]) -> Model:
+    numbers = {lang: k for k, lang in enumerate(langs)}
+    found = counted.toArrow().to_pydict()
     rows = zip(found["sequence"], (numbers[x] for x in found["lang"]), found["n"])
-    return Model(sorted(langs), list(rows))
+    return Model(langs, list(rows))
 
 
 # Scoring
@@ -278,6 +271,149 @@ def _scores(shared: Broadcast):
     return rows
 
 
+def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of letters and the counted sequences of each text."""
+    for batch in batches:
+        for begin, texts in _some_texts(batch.column("text")):
+            grams = []
+            for text in texts:
+                points = np.concatenate([np.full(ORDER - 1, 32, np.uint32), text])
+                raw = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+                ends = range(1, len(text)) if len(text) > 2 else ()
+                grams.append(list(Counter(raw[k : k + ORDER] for k in ends).items()))
+            part = batch.slice(begin, len(texts))
+            n_letters = [max(0, len(t) - 2) for t in texts]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    **{name: part.column(name) for name in ("doc_id", "key", "held_out", "taught")},
+                    "n_letters": pa.array(n_letters, pa.int64()),
+                    "grams": pa.array(
+                        [[{"sequence": s, "n": n} for s, n in g] for g in grams],
+                        pa.list_(pa.struct([("sequence", pa.string()), ("n", pa.int64())])),
+                    ),
+                }
+            )
+
+
+def _logs(rows: DataFrame, name: str, value: str) -> DataFrame:
+    """(name, logs): the logarithms of ``value`` in order of the languages."""
+    pairs = F.array_sort(F.collect_list(F.struct("number", F.log(value).alias("log"))))
+    return rows.groupBy(name).agg(F.transform(pairs, lambda p: p["log"]).alias("logs"))
+
+
+def _tables(counted: DataFrame, langs: DataFrame) -> tuple[dict, dict, float]:
+    """Per order: (sequence, logs) and (context, logs) of what any language has, as
+    ``Model`` has them, from aggregates and joins; and the floor."""
+    orders = {ORDER: counted}
+    for k in range(ORDER - 1, 0, -1):
+        shorter = F.substring("sequence", 2, k).alias("sequence")
+        orders[k] = stored(
+            orders[k + 1].groupBy("lang", shorter).agg(F.count(F.lit(1)).alias("n")), f"order-{k}"
+        )
+    alphabet = max(2, orders[1].select("sequence").distinct().count())
+    values, contexts, lower = {}, {}, None
+    for k in range(1, ORDER + 1):
+        own = orders[k].withColumn("context", F.substring("sequence", 1, k - 1))
+        once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        discount = F.when(once > 0, once / (once + 2 * twice)).otherwise(0.5)
+        all_langs = langs.join(own.groupBy("lang").agg(discount.alias("discount")), "lang", "left")
+        all_langs = F.broadcast(all_langs.fillna(0.5, ["discount"]))
+        totals = own.groupBy("lang", "context").agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
+        )
+        weight = F.coalesce(F.col("discount") * F.col("kinds") / F.col("total"), F.lit(1.0))
+        weights = stored(
+            own.select("context")
+            .distinct()
+            .crossJoin(all_langs)
+            .join(totals, ["lang", "context"], "left")
+            .select("lang", "number", "context", "discount", "total", weight.alias("weight")),
+            f"weights-{k}",
+        )
+        dense = (
+            own.select("sequence", "context")
+            .distinct()
+            .join(weights, "context")
+            .join(own.select("lang", "sequence", "n"), ["lang", "sequence"], "left")
+            .withColumn("shorter", F.substring("sequence", 2, k))
+        )
+        if lower is None:
+            dense = dense.withColumn("below", F.lit(1.0 / alphabet))
+        else:
+            below = lower.select("lang", F.col("sequence").alias("shorter"), F.col("value").alias("below"))
+            dense = dense.join(below, ["lang", "shorter"])
+        share = F.greatest(F.coalesce("n", F.lit(0)) - F.col("discount"), F.lit(0.0)) / F.greatest(
+            F.coalesce("total", F.lit(0)), F.lit(1)
+        )
+        value = share + F.col("weight") * F.col("below")
+        lower = stored(dense.select("lang", "number", "sequence", value.alias("value")), f"values-{k}")
+        values[k] = _logs(lower, "sequence", "value")
+        contexts[k] = _logs(weights, "context", "weight")
+    return values, contexts, math.log(0.5 / alphabet)
+
+
+def _joined_scores(docs: DataFrame, counted: DataFrame, names: list[str]) -> DataFrame:
+    """What ``_scores`` gives, by joining the texts' sequences to tables of any size."""
+    spark = docs.sparkSession
+    langs = spark.createDataFrame(list(zip(names, range(len(names)))), "lang string, number int")
+    schema = (
+        "doc_id long, key long, held_out boolean, taught string, n_letters long, "
+        "grams array<struct<sequence:string,n:long>>"
+    )
+    texts = stored(docs.mapInArrow(_text_rows, schema), "language-sequences")
+    # Rows alike in key add alike to sums and numbers; the mean is the same.
+    grams = texts.select("key", F.inline("grams"))
+    values, contexts, floor = _tables(counted, langs)
+    wanted = stored(grams.select("sequence").distinct(), "wanted")
+    logs = F.array_repeat(F.lit(floor), len(names))
+
+    def added(a: Column, b: Column) -> Column:
+        return F.coalesce(F.zip_with(a, b, lambda x, y: x + y), a)
+
+    for k in range(1, ORDER + 1):
+        found = values[k].select(F.col("sequence").alias("suffix"), F.col("logs").alias("found"))
+        seen = contexts[k].select("context", F.col("logs").alias("seen"))
+        wanted = (
+            wanted.withColumn("logs", logs)
+            .withColumn("suffix", F.substring("sequence", ORDER + 1 - k, k))
+            .withColumn("context", F.substring("sequence", ORDER + 1 - k, k - 1))
+            .join(found, "suffix", "left")
+            .join(seen, "context", "left")
+            .select("sequence", F.coalesce("found", added(F.col("logs"), F.col("seen"))).alias("logs"))
+        )
+        logs = F.col("logs")
+    # Adaptive execution splits the partitions of frequent sequences.
+    means = (
+        grams.join(stored(wanted, "sequence-logs"), "sequence")
+        .select("key", "n", F.posexplode("logs").alias("number", "log"))
+        .groupBy("key", "number")
+        .agg((-F.sum(F.col("n") * F.col("log")) / F.sum("n")).alias("mean"))
+    )
+    by_mean = F.array_sort(F.collect_list(F.struct("mean", "number")))
+    share = F.aggregate(
+        "means",
+        F.lit(0.0),
+        lambda total, m: total + F.exp(-SHARPNESS * (m["mean"] - F.col("entropy"))),
+    )
+    best = (
+        means.groupBy("key")
+        .agg(by_mean.alias("means"))
+        .withColumn("entropy", F.get("means", F.lit(0))["mean"])
+        .select("key", F.get("means", F.lit(0))["number"].alias("number"), "entropy", (1 / share).alias("score"))
+        .join(F.broadcast(langs.withColumnRenamed("lang", "lang_pred")), "number")
+    )
+    return texts.drop("grams").join(best, "key", "left").select(
+        "doc_id",
+        "key",
+        "held_out",
+        "taught",
+        F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+        "entropy",
+        "n_letters",
+    )
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, key, held_out, lang_pred, score, entropy, n_letters, rejected).
 
@@ -301,22 +437,26 @@ def identify(docs: DataFrame) -> DataFrame:
     learned = docs.filter(
         (remainder != 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).select("lang", "text")
-    shared = spark.sparkContext.broadcast(_trained(learned))
+    counted, langs = _counted(learned)
+    size = counted.agg(F.count(F.lit(1)), F.count_distinct("sequence")).first()
     schema = (
         "doc_id long, key long, held_out boolean, taught string, lang_pred string, "
         "score double, entropy double, n_letters long"
     )
-    scored = stored(
-        docs.select(
-            "doc_id",
-            F.xxhash64("doc_id", "text").alias("key"),
-            held_out.alias("held_out"),
-            # Only for the calibration below: the lang of texts that were learned from.
-            F.when(remainder != 2, F.col("lang")).alias("taught"),
-            "text",
-        ).mapInArrow(_scores(shared), schema),
-        "language-scores",
+    texts = docs.select(
+        "doc_id",
+        F.xxhash64("doc_id", "text").alias("key"),
+        held_out.alias("held_out"),
+        # Only for the calibration below: the lang of texts that were learned from.
+        F.when(remainder != 2, F.col("lang")).alias("taught"),
+        "text",
     )
+    if size[0] <= MODEL_SEQUENCES and size[1] * len(langs) <= MODEL_CELLS:
+        shared = spark.sparkContext.broadcast(_model(counted, langs))
+        scored = texts.mapInArrow(_scores(shared), schema)
+    else:
+        scored = _joined_scores(texts, counted, langs)
+    scored = stored(scored, "language-scores")
     length = F.floor(F.log2(F.col("n_letters") + 1)).cast("int")
     moments = [
         F.count("entropy").alias("n"),
