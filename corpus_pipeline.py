@@ -25,7 +25,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the last of a source may be cut."""
+    """Documents as often as the mix takes them, each whole."""
     return mixing.mix(docs)
 
 
