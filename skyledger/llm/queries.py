@@ -11,8 +11,11 @@ from skyledger.llm import (
     decontaminate,
     embeddings,
     language,
+    lexical,
     licenses,
+    lines,
     mixing,
+    negatives,
     repeats,
     secrets,
     simhash,
@@ -96,6 +99,28 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.remove_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Some labels are wrong on purpose.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(
+        F.col("label")
+    )
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -109,6 +134,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeats,
         op9_urls,
         op10_simhash,
+        op11_lines,
+        op12_lexical,
+        op13_negatives,
     )
 }
 
@@ -194,4 +222,84 @@ ORACLE_SQL: dict[str, str] = {
                 AND prefix(path, rule_path)
             ORDER BY length(rule) DESC, rule DESC LIMIT 1) best ON true
     """,
+    "op11_lines": r"""
+        WITH split AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                string_split(coalesce(text, ''), chr(10)) AS lines
+            FROM documents),
+        lines AS (
+            SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS nth FROM split),
+        keyed AS (
+            SELECT *, translate(
+                trim(line, concat(' ', chr(9), chr(11), chr(12), chr(13))),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+            FROM lines),
+        common AS (
+            SELECT k, max(doc_id) AS latest FROM keyed WHERE length(k) >= 20
+            GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+        judged AS (
+            SELECT r, doc_id, line, nth, coalesce(doc_id <> latest, false) AS gone
+            FROM keyed LEFT JOIN common USING (k))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), ''))
+                AS kept_sha256
+        FROM judged GROUP BY r, doc_id
+    """,
+    "op12_lexical": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        sized AS (SELECT r, doc_id, terms, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+        whole AS (SELECT count(*)::BIGINT AS documents, sum(n)::BIGINT AS length FROM sized),
+        postings AS (
+            SELECT r, term, count(*)::BIGINT AS tf
+            FROM (SELECT r, unnest(terms) AS term FROM sized) GROUP BY r, term),
+        weighed AS (
+            SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM postings, whole GROUP BY term, documents),
+        damped AS (
+            SELECT r, doc_id, 10 + (90 * n * documents) // length AS m FROM sized, whole),
+        asked AS (
+            SELECT DISTINCT q, item_id, term FROM (
+                SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark)),
+        scored AS (
+            SELECT q, item_id, doc_id, r,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM asked JOIN postings USING (term) JOIN weighed USING (term) JOIN damped USING (r)
+            GROUP BY q, item_id, doc_id, r),
+        ranked AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+            FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op13_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (
+                PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        mined AS (
+            SELECT anchor_id, positive_id, row_number() OVER (
+                PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+                vec_id AS negative_id, positive_score, score AS negative_score
+            FROM positives JOIN pairs USING (anchor_id)
+            WHERE NOT same AND 50 * positive_score <= 100 * score
+                AND 100 * score <= 95 * positive_score)
+        SELECT * FROM mined WHERE rank <= 3
+    """,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -88,3 +89,86 @@ def base_spans(text):
             if len(m[0]) >= least
         ]
     return sorted(spans)
+
+
+def _lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def without_common_lines(rows, least_chars=20, least_documents=3):
+    """(doc_id, lines, lines dropped, kept text) of each (doc_id, text)."""
+    lowest = float("-inf")
+    split = [
+        (lowest if doc_id is None else doc_id, (text or "").split("\n"))
+        for doc_id, text in rows
+    ]
+    holders = {}
+    for doc_id, lines in split:
+        for line in lines:
+            holders.setdefault(_lower(line.strip(" \t\n\x0b\x0c\r")), set()).add(doc_id)
+    out = []
+    for doc_id, lines in split:
+        kept = []
+        for line in lines:
+            key = _lower(line.strip(" \t\n\x0b\x0c\r"))
+            common = len(key) >= least_chars and len(holders[key]) >= least_documents
+            if not common or doc_id == max(holders[key]):
+                kept.append(line)
+        name = None if doc_id == lowest else doc_id
+        out.append((name, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", _lower(text or ""))
+
+
+def ranked(docs, items, top=10):
+    """(item_id, rank, doc_id, score) over (doc_id, text) and (item_id, text)."""
+    split = [(doc_id, Counter(terms(text))) for doc_id, text in docs]
+    split = [(doc_id, own) for doc_id, own in split if own]
+    n, length = len(split), sum(sum(own.values()) for _, own in split)
+    holding = Counter(term for _, own in split for term in own)
+    out = []
+    for item_id, text in items:
+        scored = []
+        for doc_id, own in split:
+            m = 100 - 90 + 90 * sum(own.values()) * n // length
+            score = 0
+            for term in set(terms(text)):
+                if tf := own[term]:
+                    w = math.floor(1000 * math.log((2 * n + 2) / (2 * holding[term] + 1)))
+                    score += w * (10**9 * tf // (1000 * tf + 8 * m))
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0, doc_id))
+        best = sorted(scored, key=lambda s: s[:3])[:top]
+        out += [(item_id, k + 1, s[3], -s[0]) for k, s in enumerate(best)]
+    return out
+
+
+def hard_negatives(rows, is_anchor, positives=5, negatives=3):
+    """The mined rows over (vec_id, label, vector)."""
+    good = {
+        (i, label, tuple(v))
+        for i, label, v in rows
+        if i is not None and label is not None and v is not None
+        and all(x is not None and math.isfinite(x) for x in v)
+    }
+    whole = sorted((i, label, [math.floor(256 * x) for x in v]) for i, label, v in good)
+    out = []
+    for anchor in (r for r in whole if is_anchor(r[0])):
+        others = [
+            (-sum(x * y for x, y in zip(anchor[2], r[2])), r[0], r[1])
+            for r in whole
+            if r is not anchor and len(r[2]) == len(anchor[2])
+        ]
+        others.sort(key=lambda o: o[:2])
+        for score, positive, _ in [o for o in others if o[2] == anchor[1]][:positives]:
+            hard = [
+                o for o in others if o[2] != anchor[1] and 50 * -score <= 100 * -o[0] <= 95 * -score
+            ]
+            out += [
+                (anchor[0], positive, k + 1, o[1], -score, -o[0])
+                for k, o in enumerate(hard[:negatives])
+            ]
+    return out
