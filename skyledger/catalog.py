@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.operators.comparing import compare
+from skyledger.operators.heavy import heavy_hitters
 from skyledger.operators.profiling import null_counts, rows_per
 from skyledger.plans import exploration, reports
 from skyledger.plans.delays import delay_stats
@@ -15,12 +17,23 @@ from skyledger.plans.fleet import (
     flights_per_tail,
     flights_with_airline,
     least_flown_models,
+    rollup_delta,
+    top_models_colocated,
     top_models_from_rollup,
     top_models_per_airline,
 )
 from skyledger.plans.top_models import model_counts, top_models
 from skyledger.session import scratch_path
-from skyledger.sources import derived, layouts, schemas, tables
+from skyledger.sources import (
+    colocated,
+    derived,
+    incremental,
+    layouts,
+    mixed_headers,
+    quarantine,
+    schemas,
+    tables,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +43,7 @@ YEAR = 1996
 TAIL = "N000050"
 NAME_PATTERN = "%000%"
 FILE_CAP = 500
+HEAVY_SHARE = 0.0005
 
 
 # Most flown models of one manufacturer
@@ -142,6 +156,18 @@ def t3_top_fleet_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def t3_top_fleet_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "by-tail")
+    # Tables of the session's catalog are called after their folder, which is new.
+    name = path.rpartition("/")[2].replace("-", "_")
+    names = {"flights_table": f"{name}_flights", "aircrafts_table": f"{name}_aircrafts"}
+    colocated.write_colocated(
+        derived.flights(spark, sf_dir), derived.aircrafts(spark, sf_dir), path, **names
+    )
+    flights, aircrafts = colocated.read_colocated(spark, **names)
+    return top_models_colocated(flights, derived.airlines(spark, sf_dir), aircrafts, COUNTRY)
+
+
 def t3_least_flown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return least_flown_models(
         derived.flights(spark, sf_dir),
@@ -151,15 +177,22 @@ def t3_least_flown(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Where the rollup of an application, folder and format is, once some query has written it.
+_ROLLUPS: dict[tuple[str, str, str], str] = {}
+
+
 def _stored_rollup(
     spark: SparkSession, sf_dir: str, fmt: str = "parquet"
 ) -> DataFrame:
-    per_tail = flights_per_tail(
-        derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
-    )
-    path = scratch_path(spark, "country-rollup")
-    layouts.write_country_rollup(per_tail, path, fmt=fmt)
-    return layouts.read_country_rollup(spark, path, fmt=fmt)
+    written = (spark.sparkContext.applicationId, sf_dir, fmt)
+    if written not in _ROLLUPS:
+        per_tail = flights_per_tail(
+            derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
+        )
+        path = scratch_path(spark, "country-rollup")
+        layouts.write_country_rollup(per_tail, path, fmt=fmt)
+        _ROLLUPS[written] = path
+    return layouts.read_country_rollup(spark, _ROLLUPS[written], fmt=fmt)
 
 
 def t3_top_fleet_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,6 +269,68 @@ def layout_country_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_per(stored.filter(F.col("country") == COUNTRY), "name", "tail_number")
 
 
+def flights_of_tail_from_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "country-tail")
+    layouts.write_country_tail(
+        flights_with_airline(
+            derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
+        ),
+        path,
+    )
+    stored = layouts.read_country_flights(spark, path)
+    return rows_per(stored.filter(F.col("tail_number") == TAIL), "country", "carrier_code")
+
+
+def layout_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: days up to the 20th with gaps, then days from the 11th on, then
+    those up to the 10th, the last one twice."""
+    flights = derived.flights(spark, sf_dir)
+    flights = flights.select(
+        *(
+            F.col(f.name) if f.name in flights.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schemas.FLIGHTS
+        )
+    )
+    day = F.dayofmonth("flight_date")
+    early, late = flights.filter(day <= 10), flights.filter(day > 10)
+    gaps = flights.filter((day <= 20) & (F.col("flight_id") % 5 != 0))
+    path = scratch_path(spark, "flights-by-day")
+    for delivery in (gaps, late, early, early):
+        incremental.load_days(delivery, path, keys=layouts.YEAR_ONLY)
+    return (
+        layouts.read_flights_by_year(spark, path)
+        .groupBy("year", "carrier_code")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("flight_id").alias("ids"))
+    )
+
+
+def layout_rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six tenths of the flights, then the next three, then the last one and the news that
+    every seventh flight of the first six tenths was cancelled; the last delta twice."""
+    flights, airlines = derived.flights(spark, sf_dir), derived.airlines(spark, sf_dir)
+    tenth = F.col("flight_id") % 10
+    gone = (tenth < 6) & (F.col("flight_id") % 7 == 0)
+    was_flown = F.col("actual_departure_time").isNotNull()
+    path = scratch_path(spark, "rollup-by-delta")
+    deltas = {
+        "first": rollup_delta(airlines, flown=flights.filter(tenth < 6)),
+        "second": rollup_delta(airlines, flown=flights.filter(tenth.between(6, 8))),
+        "third": rollup_delta(
+            airlines,
+            flown=flights.filter(tenth == 9),
+            cancelled=flights.filter(gone & was_flown),
+        ),
+    }
+    for name in (*deltas, "third"):
+        incremental.apply_delta(deltas[name], path, name)
+    return (
+        layouts.read_country_rollup(spark, path)
+        .groupBy("country", "carrier_code")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("numFlights"))
+    )
+
+
 def layout_file_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = _stored_rollup(spark, sf_dir)
     path = scratch_path(spark, "country-rollup-capped")
@@ -356,9 +451,30 @@ def profile_lost_to_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exploration.lost_to_typing(text, T.StructType(typed))
 
 
+def compare_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights file as text and as typed, each read without some of its flights."""
+    path = _flights_csv(spark, sf_dir)
+    columns = [
+        "flight_id", "flight_date", "tail_number", "actual_departure_time"
+    ]
+    text = tables.read_csv(spark, path, _as_text(schemas.FLIGHTS_FILE)).select(columns)
+    typed = tables.read_flights(spark, path).select(
+        *(F.col(name).cast("string").alias(name) for name in columns)
+    )
+    return compare(
+        text.filter(F.col("flight_id").cast("long") % 61 != 0),
+        typed.filter(F.col("flight_id").cast("long") % 59 != 0),
+        ["flight_id"],
+    )
+
+
 # Data quality
 
 
+def profile_heavy_tails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heavy_hitters(derived.flights(spark, sf_dir), "tail_number", HEAVY_SHARE)
+
+
 def profile_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_counts(derived.flights(spark, sf_dir))
 
@@ -423,6 +539,40 @@ def src_csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("tailnum", "manufacturer", "model")
 
 
+def src_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and the sum of their flight ids, per reason for which they are rejected."""
+    path = scratch_path(spark, "flight-lines")
+    derived.flight_lines(spark, sf_dir).write.text(path)
+    load = quarantine.load_csv(
+        spark, path, scratch_path(spark, "flights-loaded"), schemas.FLIGHTS_FILE, header=False
+    )
+    first = F.substring_index(quarantine.LINE, ",", 1).cast("long")
+    rejected = load.rejected.select(
+        F.col(quarantine.REASON).alias("reason"), first.alias("flight_id")
+    )
+    accepted = load.accepted.select(F.lit("accepted").alias("reason"), "flight_id")
+    return (
+        rejected.unionByName(accepted)
+        .groupBy("reason")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("flight_id").alias("ids"))
+    )
+
+
+def src_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "flights-mixed")
+    for part in derived.flight_file_parts(spark, sf_dir):
+        part.write.mode("append").option("header", True).csv(path)
+    return mixed_headers.read_flights_by_header(spark, path).select(
+        "flight_id",
+        "carrier_code",
+        "flight_number",
+        F.date_format("flight_date", "yyyy-MM-dd").alias("flight_date"),
+        "tail_number",
+        schemas.SCHEDULED,
+        "actual_departure_time",
+    )
+
+
 # Reports
 
 
@@ -458,6 +608,7 @@ QUERIES: dict[str, Query] = {
         t3_top_fleet_exact,
         t3_top_fleet_from_rollup,
         t3_top_fleet_from_csv_rollup,
+        t3_top_fleet_colocated,
         t3_least_flown,
         t3_missing_country,
         layout_year_carrier,
@@ -465,10 +616,13 @@ QUERIES: dict[str, Query] = {
         layout_country_flights,
         layout_country_tail,
         layout_file_cap,
+        layout_incremental,
+        layout_rollup_incremental,
         flights_by_year_carrier,
         rollup_by_country_carrier,
         flights_in_year_total,
         flights_of_tail,
+        flights_of_tail_from_layout,
         flight_id_counts,
         aircraft_by_model,
         models_per_airline,
@@ -480,6 +634,8 @@ QUERIES: dict[str, Query] = {
         airline_name_search,
         distinct_countries,
         schema_drift,
+        compare_reads,
+        profile_heavy_tails,
         profile_null_counts,
         profile_cancelled,
         profile_duplicate_keys,
@@ -491,6 +647,8 @@ QUERIES: dict[str, Query] = {
         src_csv_roundtrip,
         src_csv_headerless,
         src_csv_ragged,
+        src_csv_quarantine,
+        src_csv_mixed_headers,
         report_model_lines,
         report_delay_lines,
         report_fleet_lines,

@@ -15,12 +15,14 @@ from skyledger.plans.fleet import (
     TIES,
     flights_per_tail,
     flights_with_airline,
+    rollup_delta,
     top_models_from_rollup,
     top_models_per_airline,
 )
 from skyledger.plans.top_models import top_models
 from skyledger.session import build_session
-from skyledger.sources import layouts
+from skyledger.sources import incremental, layouts, quarantine, schemas
+from skyledger.sources.mixed_headers import read_flights_by_header
 from skyledger.sources.tables import (
     FORMATS,
     read_aircrafts,
@@ -29,7 +31,16 @@ from skyledger.sources.tables import (
 )
 
 
+LOADED = {
+    "flights": schemas.FLIGHTS_FILE,
+    "aircrafts": schemas.AIRCRAFTS,
+    "airlines": schemas.AIRLINES,
+}
+
+
 def _flights(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.headers_differ:
+        return read_flights_by_header(spark, args.flights)
     return read_flights(spark, args.flights, fmt=args.format)
 
 
@@ -124,6 +135,37 @@ def run_layout_country(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def run_layout_tail(spark: SparkSession, args: argparse.Namespace) -> None:
+    layouts.write_country_tail(
+        flights_with_airline(_flights(spark, args), _airlines(spark, args)),
+        args.out,
+        fmt=args.out_format,
+        max_records_per_file=args.max_records,
+        parts=args.parts,
+    )
+
+
+def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
+    quarantine.load_csv(
+        spark, args.source, args.out, LOADED[args.table], header=not args.no_header
+    )
+
+
+def run_load_days(spark: SparkSession, args: argparse.Namespace) -> None:
+    incremental.load_days(_flights(spark, args), args.out, keys=args.keys)
+
+
+def run_apply_delta(spark: SparkSession, args: argparse.Namespace) -> None:
+    delta = rollup_delta(
+        _airlines(spark, args),
+        flown=read_flights(spark, args.flown, fmt=args.format) if args.flown else None,
+        cancelled=(
+            read_flights(spark, args.cancelled, fmt=args.format) if args.cancelled else None
+        ),
+    )
+    incremental.apply_delta(delta, args.out, args.name)
+
+
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="skyledger", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -132,6 +174,12 @@ def build_parser() -> argparse.ArgumentParser:
         sub = commands.add_parser(name)
         for table in tables:
             sub.add_argument(f"--{table}", required=True)
+        if "flights" in tables:
+            sub.add_argument(
+                "--headers-differ",
+                action="store_true",
+                help="flights are CSV files, each with a header of its own",
+            )
         sub.add_argument("--format", choices=FORMATS, default="csv")
         sub.add_argument("--out", required=True)
         sub.add_argument("--shuffle-partitions", type=int)
@@ -165,9 +213,23 @@ def build_parser() -> argparse.ArgumentParser:
     rollup = command("layout-rollup", run_layout_rollup, "flights", "airlines")
     by_country = command("layout-country", run_layout_country, "flights", "airlines")
     by_country.add_argument("--by-tail", action="store_true")
-    for sub in (by_year, rollup, by_country):
+    by_tail = command("layout-tail", run_layout_tail, "flights", "airlines")
+    by_tail.add_argument("--parts", type=int, help="ranges of country and tail")
+    for sub in (by_year, rollup, by_country, by_tail):
         sub.add_argument("--out-format", choices=FORMATS, default="parquet")
         sub.add_argument("--max-records", type=int, default=layouts.ROWS_PER_FILE)
+
+    load = command("load", run_load, "source")
+    load.add_argument("--table", choices=sorted(LOADED), required=True)
+    load.add_argument("--no-header", action="store_true")
+    days = command("load-days", run_load_days, "flights")
+    days.add_argument(
+        "--keys", nargs="+", choices=layouts.YEAR_CARRIER, default=layouts.YEAR_CARRIER
+    )
+    delta = command("apply-delta", run_apply_delta, "airlines")
+    delta.add_argument("--flown", help="flights to count")
+    delta.add_argument("--cancelled", help="flights counted before that were cancelled")
+    delta.add_argument("--name", required=True, help="a delta of a name is applied once")
     return parser
 
 

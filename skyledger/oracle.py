@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from skyledger.catalog import COUNTRY, MISSING_COUNTRY, NAME_PATTERN, TAIL, YEAR
+from skyledger.catalog import (
+    COUNTRY,
+    HEAVY_SHARE,
+    MISSING_COUNTRY,
+    NAME_PATTERN,
+    TAIL,
+    YEAR,
+)
 
 
 def _padded(number: str, width: int) -> str:
@@ -188,6 +195,7 @@ BODIES: dict[str, str] = {
     "t3_top_fleet_exact": "SELECT * FROM exact_fleet WHERE rank <= 5",
     "t3_top_fleet_from_rollup": TOP_FLEET,
     "t3_top_fleet_from_csv_rollup": TOP_FLEET,
+    "t3_top_fleet_colocated": TOP_FLEET,
     "t3_least_flown": _ranked_fleet("ASC"),
     "t3_missing_country": f"""
     SELECT CAST(count(*) AS BIGINT) AS n FROM rollup_rows
@@ -214,6 +222,26 @@ BODIES: dict[str, str] = {
     FROM flown f JOIN airlines a ON f.carrier_code = a.carrier_code
     WHERE country = '{COUNTRY}' GROUP BY name, tail_number
     """,
+    "flights_of_tail_from_layout": f"""
+    SELECT country, f.carrier_code, CAST(count(*) AS BIGINT) AS n
+    FROM flown f JOIN airlines a ON f.carrier_code = a.carrier_code
+    WHERE tail_number = '{TAIL}' GROUP BY country, f.carrier_code
+    """,
+    "layout_incremental": """
+    SELECT CAST(year(flight_date) AS INTEGER) AS year, carrier_code,
+           CAST(count(*) AS BIGINT) AS n, CAST(sum(flight_id) AS BIGINT) AS ids
+    FROM flights GROUP BY 1, 2
+    """,
+    "layout_rollup_incremental": """
+    SELECT country, carrier_code, CAST(count(*) AS BIGINT) AS n,
+           CAST(sum(legs) AS BIGINT) AS numFlights
+    FROM (
+      SELECT a.country, a.carrier_code, f.tail_number, count(*) AS legs
+      FROM airlines a JOIN flown f ON a.carrier_code = f.carrier_code
+      WHERE NOT (f.flight_id % 10 < 6 AND f.flight_id % 7 = 0)
+      GROUP BY a.country, a.carrier_code, f.tail_number
+    ) GROUP BY country, carrier_code
+    """,
     "layout_file_cap": """
     SELECT TRUE AS within_cap, CAST(count(*) AS BIGINT) AS total FROM rollup_rows
     """,
@@ -285,6 +313,46 @@ BODIES: dict[str, str] = {
       SELECT flight_id FROM flights WHERE flight_id % 41 <> 0 AND {IN_YEAR}
     )
     """,
+    "compare_reads": """
+    SELECT kind, "column", CAST(sum(n) AS BIGINT) AS n FROM (
+      WITH sides AS (
+        SELECT flight_id,
+               CASE WHEN flight_id % 41 = 0
+                    THEN concat(strftime(flight_date, '%Y-%m-%d'), '?')
+                    ELSE strftime(flight_date, '%Y-%m-%d') END AS d,
+               tail_number AS t, actual_departure_time AS a, 1 AS l, 0 AS r
+        FROM flights WHERE flight_id % 61 <> 0
+        UNION ALL
+        SELECT flight_id,
+               CASE WHEN flight_id % 41 <> 0 THEN strftime(flight_date, '%Y-%m-%d') END,
+               tail_number, actual_departure_time, 0, 1
+        FROM flights WHERE flight_id % 59 <> 0
+      ), rest AS (
+        SELECT flight_id, d, t, a, greatest(sum(l) - sum(r), 0) AS l,
+               greatest(sum(r) - sum(l), 0) AS r
+        FROM sides GROUP BY flight_id, d, t, a HAVING sum(l) <> sum(r)
+      ), per_key AS (
+        SELECT flight_id, sum(l) AS l, sum(r) AS r FROM rest GROUP BY flight_id
+      ), cells AS (
+        SELECT flight_id, 'flight_date' AS "column", d AS v, l, r FROM rest
+        UNION ALL SELECT flight_id, 'tail_number', t, l, r FROM rest
+        UNION ALL SELECT flight_id, 'actual_departure_time', a, l, r FROM rest
+      ), per_value AS (
+        SELECT flight_id, "column", v, sum(l) AS l, sum(r) AS r
+        FROM cells GROUP BY flight_id, "column", v
+      )
+      SELECT 'only left' AS kind, NULL AS "column", l - r AS n FROM per_key WHERE l > r
+      UNION ALL SELECT 'only right', NULL, r - l FROM per_key WHERE r > l
+      UNION ALL
+      SELECT 'differs', "column", least(sum(l), sum(r)) - sum(least(l, r))
+      FROM per_value GROUP BY flight_id, "column"
+    ) WHERE n > 0 GROUP BY kind, "column"
+    """,
+    "profile_heavy_tails": f"""
+    SELECT tail_number, CAST(count(*) AS BIGINT) AS n FROM flights
+    GROUP BY tail_number
+    HAVING count(*) > {HEAVY_SHARE} * (SELECT count(*) FROM flights)
+    """,
     "profile_lost_to_typing": """
     SELECT CAST(0 AS BIGINT) AS flight_id,
            CAST(count(*) FILTER (flight_id % 41 = 0) AS BIGINT) AS flight_date,
@@ -336,6 +404,24 @@ BODIES: dict[str, str] = {
     """,
     "src_csv_headerless": "SELECT carrier_code, name, country FROM airlines",
     "src_csv_ragged": "SELECT tailnum, manufacturer, model FROM aircrafts",
+    "src_csv_quarantine": """
+    SELECT CASE WHEN flight_id % 43 = 0 THEN 'fields missing'
+                WHEN flight_id % 47 = 0 THEN 'fields surplus'
+                WHEN flight_id % 53 = 0 THEN 'open quote'
+                WHEN flight_id % 41 = 0 THEN 'value of flight_date'
+                ELSE 'accepted' END AS reason,
+           CAST(count(*) AS BIGINT) AS n, CAST(sum(flight_id) AS BIGINT) AS ids
+    FROM flights GROUP BY 1
+    """,
+    "src_csv_mixed_headers": """
+    SELECT flight_id, carrier_code,
+           CASE WHEN flight_id % 4 <> 3 THEN CAST(flight_id % 1000 AS VARCHAR) END
+             AS flight_number,
+           CASE WHEN flight_id % 41 <> 0 THEN strftime(flight_date, '%Y-%m-%d') END
+             AS flight_date,
+           tail_number, scheduled_departure_time, actual_departure_time
+    FROM flights
+    """,
     "report_model_lines": f"""
     SELECT concat('Cessna ', modelName, ' \t ', CAST(numFlights AS VARCHAR)) AS line
     FROM ({_top_models('flights')})

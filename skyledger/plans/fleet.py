@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from skyledger.functions import flown
 from skyledger.operators.joins import broadcast_if_small, fits_broadcast
 from skyledger.operators.profiling import rows_per
 from skyledger.operators.ranking import first_within, ranked_within
+from skyledger.sources.colocated import SLICE
 
 TIES = ("keep", "exact")
 
@@ -45,6 +48,28 @@ def flights_per_tail(
     return pairs.join(copies, "carrier_code").select(*keys, total.alias("count"))
 
 
+def rollup_delta(
+    airlines: DataFrame, *, flown: DataFrame | None = None, cancelled: DataFrame | None = None
+) -> DataFrame:
+    """Signed changes of the counts per tail: flights newly flown, and flights counted
+    before that turn out to be cancelled."""
+    parts = [
+        flights_per_tail(flights, airlines, flown_only=flown_only).withColumn(
+            "count", F.col("count") * sign
+        )
+        for flights, flown_only, sign in ((flown, True, 1), (cancelled, False, -1))
+        if flights is not None
+    ]
+    if not parts:
+        raise ValueError("a delta needs flown or cancelled flights")
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("name", "carrier_code", "tail_number", "country")
+        .agg(F.sum("count").alias("count"))
+        .filter("count <> 0")
+    )
+
+
 def flights_with_airline(
     flights: DataFrame, airlines: DataFrame, *, flown_only: bool = True
 ) -> DataFrame:
@@ -55,10 +80,10 @@ def flights_with_airline(
     return flights.join(broadcast_if_small(carriers), "carrier_code")
 
 
-def known_aircrafts(aircrafts: DataFrame) -> DataFrame:
+def known_aircrafts(aircrafts: DataFrame, *carried: str) -> DataFrame:
     return aircrafts.filter(
         F.col("manufacturer").isNotNull() & F.col("model").isNotNull()
-    ).select("tailnum", "manufacturer", "model")
+    ).select("tailnum", "manufacturer", "model", *carried)
 
 
 def flights_per_model(per_tail: DataFrame, aircrafts: DataFrame) -> DataFrame:
@@ -116,6 +141,52 @@ def top_models_from_rollup(
     return rank_models(flights_per_model(per_tail, aircrafts), n, ties=ties)
 
 
+def flights_per_model_colocated(
+    flights: DataFrame, airlines: DataFrame, aircrafts: DataFrame, country: str
+) -> DataFrame:
+    """``flights_per_model`` from tables that ``write_colocated`` wrote.
+
+    Flights and aircraft meet bucket by bucket, without a shuffle of either; what is
+    shuffled are counts per (carrier, manufacturer, model).
+    """
+    carriers = airlines.filter(F.col("country") == country).select("carrier_code", "name")
+    legs = flights.filter(
+        flown(F.col("actual_departure_time")) & F.col("tail_number").isNotNull()
+    ).select("carrier_code", "tail_number", SLICE)
+    wanted = carriers.select("carrier_code").distinct()
+    if fits_broadcast(wanted):
+        legs = legs.join(F.broadcast(wanted), "carrier_code", "left_semi")
+    known = known_aircrafts(aircrafts.withColumnRenamed(SLICE, "own_slice"), "own_slice")
+    same = (F.col("tail_number") == F.col("tailnum")) & (F.col(SLICE) == F.col("own_slice"))
+    per_carrier = rows_per(
+        legs.join(known.hint("merge"), same),
+        "carrier_code",
+        "manufacturer",
+        "model",
+        alias="legs",
+    )
+    # An airline row that occurs twice counts its flights twice, as a plain join would.
+    return (
+        per_carrier.join(carriers, "carrier_code")
+        .groupBy("name", "manufacturer", "model")
+        .agg(F.sum("legs").alias("numFlights"))
+    )
+
+
+def top_models_colocated(
+    flights: DataFrame,
+    airlines: DataFrame,
+    aircrafts: DataFrame,
+    country: str,
+    n: int = 5,
+    *,
+    ties: str = "keep",
+) -> DataFrame:
+    """``top_models_per_airline`` from tables that ``write_colocated`` wrote."""
+    per_model = flights_per_model_colocated(flights, airlines, aircrafts, country)
+    return rank_models(per_model, n, ties=ties)
+
+
 def least_flown_models(
     flights: DataFrame,
     airlines: DataFrame,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import flown, model_code
+from skyledger.operators.bloom import possibly_in
 from skyledger.operators.joins import fits_broadcast
 from skyledger.operators.profiling import rows_per
 
@@ -54,6 +55,8 @@ def model_counts(
             .select("modelName", "numFlights")
         )
     else:
+        # Of other manufacturers' flights hardly any is counted and shuffled.
+        legs = possibly_in(legs, "tail_number", planes, "tailnum")
         per_tail = rows_per(legs, "tail_number")
         counts = (
             planes.join(per_tail, same_tail, "left")

@@ -26,11 +26,14 @@ def write_partitioned(
     fmt: str = "parquet",
     max_records_per_file: int | None = None,
     sort_within: Sequence[str] = (),
+    replace: bool = False,
 ) -> None:
     """Write ``df`` in directories by ``keys``.
 
     ``rebalance`` brings the rows of a directory together and lets adaptive execution
     split a directory that is too large for one task and merge those that are small.
+    ``replace`` writes into a table that exists: the directories of which ``df`` has rows
+    are replaced, the others stay.
     """
     rows = df.hint("rebalance", *(F.col(key) for key in keys))
     if sort_within:
@@ -40,6 +43,8 @@ def write_partitioned(
         writer = writer.option("header", True)
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 
@@ -158,18 +163,43 @@ def read_country_flights(
 
 
 def write_country_tail(
-    flights: DataFrame, path: str, *, fmt: str = "parquet"
+    flights: DataFrame,
+    path: str,
+    *,
+    fmt: str = "parquet",
+    max_records_per_file: int | None = ROWS_PER_FILE,
+    parts: int | None = None,
 ) -> None:
     """Flights by country, every file holding a narrow range of tail numbers.
 
     Rows are dealt in ranges of country, tail and a hash of the flight, so that a hot
-    country or tail spreads over tasks while a tail stays in few files.
+    country or tail spreads over tasks while a tail stays in few files. ``parts`` is the
+    number of ranges (the session's shuffle partitions unless given; these are not split
+    later), the cap ends files within a range. Parquet files get a Bloom filter of their
+    tail numbers, so that a look-up of one aircraft skips row groups whose range of
+    numbers holds its number without having it.
     """
     turn = F.xxhash64("flight_id")
+    ranges = ["country", "tail_number", turn]
+    dealt = (
+        flights.repartitionByRange(*ranges)
+        if parts is None
+        else flights.repartitionByRange(parts, *ranges)
+    )
     writer = (
-        flights.repartitionByRange("country", "tail_number", turn)
-        .sortWithinPartitions("country", "tail_number")
+        dealt.sortWithinPartitions("country", "tail_number")
         .write.partitionBy("country")
         .format(fmt)
     )
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    else:
+        # Not written for a column that a dictionary holds whole.
+        writer = (
+            writer.option("parquet.bloom.filter.enabled#tail_number", True)
+            .option("parquet.bloom.filter.adaptive.enabled", True)
+            .option("parquet.enable.dictionary#tail_number", False)
+        )
+    if max_records_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.save(path)

@@ -4,6 +4,7 @@ import pytest
 
 from skyledger.cli import main
 from skyledger.sources import schemas
+from skyledger.sources.quarantine import read_load
 
 
 @pytest.fixture(scope="module")
@@ -129,3 +130,46 @@ def test_country_layout(spark, run):
     stored = run("layout-country", "flights", "airlines", by_tail=True)
     counts = spark.read.parquet(stored).groupBy("country").count().collect()
     assert {row["country"]: row["count"] for row in counts} == {"Canada": 5, "Egypt": 1}
+
+
+def test_country_and_tail_layout(spark, run):
+    stored = run("layout-tail", "flights", "airlines", parts=3, max_records=2)
+    files = spark.read.parquet(stored).inputFiles()
+    assert len(files) >= 3
+    assert all(spark.read.parquet(f).count() <= 2 for f in files)
+
+
+def test_load_sets_lines_aside(spark, tables, tmp_path):
+    out = str(tmp_path / "loaded")
+    main(["load", "--table", "aircrafts", "--source", tables["aircrafts"], "--out", out])
+    load = read_load(spark, out, schemas.AIRCRAFTS)
+    assert load.accepted.count() == 3
+    assert [r.reject_line for r in load.rejected.collect()] == ["N1,cut short,CESSNA"]
+
+
+def test_days_are_loaded_in_place(spark, run, tables, tmp_path):
+    out = str(tmp_path / "table")
+    for _ in range(2):
+        main(["load-days", "--flights", tables["flights"], "--out", out, "--headers-differ"])
+    report = str(tmp_path / "report")
+    main(
+        ["delays", "--flights", out, "--airlines", tables["airlines"], "--layout"]
+        + ["--year", "1996", "--out", report]
+    )
+    assert sorted(lines(spark, report)) == DELAYS
+
+
+def test_deltas_are_applied_once(spark, tables, tmp_path):
+    out = str(tmp_path / "rollup")
+    for name in ("one", "one", "two"):
+        main(
+            ["apply-delta", "--airlines", tables["airlines"], "--flown", tables["flights"]]
+            + ["--name", name, "--out", out]
+        )
+    main(
+        ["apply-delta", "--airlines", tables["airlines"], "--cancelled", tables["flights"]]
+        + ["--name", "three", "--out", out]
+    )
+    counts = spark.read.parquet(out).groupBy("tail_number").sum("count").collect()
+    # Two loads of flown flights, less one of all of them.
+    assert {r[0]: r[1] for r in counts} == {"N1": 3, "N3": 2}

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -175,3 +176,63 @@ def test_a_hot_directory_is_written_by_several_tasks(spark, tmp_path, keys):
     assert len(hot) > 1
     stored = layouts.read_flights_by_year(spark, path, schema=FLIGHTS)
     assert stored.count() == 400_000
+
+
+def tail_flights(spark, n=4000):
+    """Even tail numbers of one country, a third of the flights on one of them."""
+    tail = "if(id % 3 = 0, 'N0500', concat('N', lpad(string(2 * (id % 400)), 4, '0')))"
+    return spark.range(n).selectExpr("id AS flight_id", f"{tail} AS tail_number", "'Chad' AS country")
+
+
+def tails_by_file(spark, path):
+    files = sorted(Path(path, "country=Chad").glob("part-*"))
+    return [
+        [r.tail_number for r in spark.read.parquet(str(f)).select("tail_number").collect()]
+        for f in files
+    ]
+
+
+def test_country_tail_spreads_a_hot_tail_and_keeps_files_narrow(spark, tmp_path):
+    path = str(tmp_path / "out")
+    layouts.write_country_tail(tail_flights(spark), path, parts=8, max_records_per_file=400)
+    files = tails_by_file(spark, path)
+    assert len(files) > 8 and max(map(len, files)) <= 400
+    assert sum("N0500" in f for f in files) >= 3
+    # Every other tail is in one file, or two where a file ends within it.
+    for tail in {t for f in files for t in f} - {"N0500"}:
+        assert sum(tail in f for f in files) <= 2
+    ranges = sorted((min(f), max(f)) for f in files)
+    assert all(low[1] <= high[0] for low, high in zip(ranges, ranges[1:]))
+
+
+def test_bloom_filters_skip_row_groups_of_other_tails(spark, tmp_path):
+    path = str(tmp_path / "out")
+    layouts.write_country_tail(tail_flights(spark), path, parts=4)
+    files = [str(f) for f in Path(path, "country=Chad").glob("part-*")]
+
+    def skipped(tail):
+        return [
+            row[-1]
+            for f in files
+            for row in duckdb.sql(f"FROM parquet_bloom_probe('{f}', 'tail_number', '{tail}')").fetchall()
+        ]
+
+    # No row group has an odd number, though every range of numbers holds some.
+    assert len(skipped("N0301")) >= 4 and all(skipped("N0301"))
+    assert not all(skipped("N0300"))
+    schema = tail_flights(spark).schema
+    stored = layouts.read_country_flights(spark, path, schema=schema)
+    for tail, found in (("N0301", 0), ("N0300", 6)):
+        rows = stored.filter(F.col("tail_number") == tail).select("tail_number")
+        assert len(rows.collect()) in (found, found + 1)
+        plan = rows._jdf.queryExecution().executedPlan()
+        scan = next(iter(_scans(plan)))
+        read = scan.metrics().apply("numOutputRows").value()
+        assert read == 0 if found == 0 else 0 < read < 4000
+
+
+def _scans(plan):
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    return [leaves.apply(k) for k in range(leaves.size())]
