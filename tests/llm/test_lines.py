@@ -29,7 +29,7 @@ def ordered(rows):
 
 @pytest.fixture(scope="module")
 def odd_rows():
-    long = "\n".join(f"line {k % 700} of a very long text" for k in range(30_000))
+    long = "\n".join(f"line {k % 700} of a very long text" for k in range(6_000))
     rows = [
         (1, COMMON),
         (2, f" \t{COMMON.upper()}\r\nonly here, only once, twenty\n{COMMON}"),
