@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.session import scratch_path
@@ -16,8 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read again.
+def stored(df: DataFrame, name: str, **options: object) -> DataFrame:
+    """``df`` written to the shared scratch folder, with the writer's ``options``, and read
+    again.
 
     It cuts the lineage: a lost executor costs a read, not the work before it. The
     shuffle files of the work are removed as soon as its result is written.
@@ -27,12 +29,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_order(df: DataFrame) -> list[Column]:
+    """Columns that sort ``df``, read from files that a job wrote, in the order of the
+    writing tasks and of their rows; none if it is no such read."""
+    name = F.col("_metadata.file_name")
+    # Numbers of tasks have five digits, or more.
+    order = [F.length(F.substring_index(name, "-", 2)), name, F.col("_metadata.row_index")]
+    try:
+        df.select(*order)
+    except AnalysisException:
+        return []
+    return order
+
+
 def _checksum(links: DataFrame) -> tuple:
     return tuple(
         links.agg(

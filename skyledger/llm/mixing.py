@@ -9,21 +9,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import WORD
+from skyledger.llm.common import WORD, stored
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MOST_REPEATS = 2
 
-# Output shards (a power of two) and words of a block. Quotas are drawn in blocks, of
-# which the sampler wants fewer than a billion in all.
+# Output shards (a power of two), and hexadecimal digits of a document's hash that tell its
+# block: a source has up to 65,536. The sampler of the quotas wants fewer than a billion
+# blocks in all, so at most 7,600 sources that are all taken twice.
 SHARDS = 64
-BLOCK_WORDS = 32_768
+BLOCK_DIGITS = 4
 SEED = 20_241
 
-# Prime above any number of blocks: times it, block numbers modulo their count permute.
-STRIDE = 1_000_000_007
-
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -115,11 +113,62 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     )
 
 
-def _sum_before(value: str, keys: list[str], *order: str) -> Column:
-    """The sum of ``value`` over the rows of the same keys that come before."""
-    before = Window.partitionBy(*keys).orderBy(*order)
-    total = F.sum(value).over(before.rowsBetween(Window.unboundedPreceding, -1))
-    return F.coalesce(total, F.lit(0))
+def blocks_drawn(
+    rows: DataFrame,
+    weights: Sequence[int],
+    budget: float,
+    repeats: int,
+    shards: int,
+    seed: int,
+) -> DataFrame:
+    """A row for each block (of, block): its source's sizes, and its draws.
+
+    ``rows`` has of, source, block and size. In every pass a source's blocks are drawn in
+    an order of their own (MD5 of block, pass, seed and source) without putting back,
+    until the words drawn reach the source's target. ``draws`` has pass, begins (the words
+    drawn before the block, in earlier passes too) and shard. The number of blocks drawn
+    is the source's quota; the tree deals it to the shards, and consecutive draws go to
+    the shards in turn, so shards hold disjoint sets of blocks of a pass.
+    """
+    blocks = rows.groupBy("of", "block").agg(
+        F.first("source").alias("source"), F.sum("size").alias("words_in")
+    )
+    sizes = blocks.groupBy("of").agg(
+        F.first("source").alias("source"),
+        F.sum("words_in").alias("source_size"),
+        F.count(F.lit(1)).alias("n_blocks"),
+    )
+    targets = source_targets(sizes, weights, budget, repeats)
+    targets = targets.withColumn("words", F.floor(F.col("target") + 0.5).cast("long"))
+    drawn = blocks.drop("source").join(targets.drop("source"), "of")
+    draws = []
+    for k in range(repeats):
+        key = F.md5(F.concat_ws("/", "block", F.lit(str(k)), F.lit(str(seed)), "of"))
+        order = Window.partitionBy("of").orderBy(key, "block")
+        before = F.sum("words_in").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        draws.append(
+            F.struct(
+                F.lit(k).alias("pass"),
+                (F.coalesce(before, F.lit(0)) + F.col("source_size") * k).alias("begins"),
+                (F.row_number().over(order) - 1 + F.col("n_blocks") * k).alias("draw"),
+            )
+        )
+    drawn = drawn.withColumn("draws", F.array(*draws)).withColumn(
+        "draws", F.filter("draws", lambda d: d["begins"] < F.col("words"))
+    )
+    drawn = stored(drawn, "mix-blocks")
+    quotas = drawn.groupBy("of").agg(F.sum(F.size("draws")).cast("long").alias("quota"))
+    dealt = F.transform(
+        "draws",
+        lambda d: F.struct(
+            d["pass"].alias("pass"),
+            d["begins"].alias("begins"),
+            F.size(F.filter("ends", lambda end: end <= d["draw"])).alias("shard"),
+        ),
+    )
+    return drawn.join(shard_quotas(quotas, shards, seed), "of").select(
+        "of", "block", "source_size", "target", "words", dealt.alias("draws")
+    )
 
 
 def plan(
@@ -129,98 +178,77 @@ def plan(
     budget: float = BUDGET,
     repeats: int = MOST_REPEATS,
     shards: int = SHARDS,
-    block_words: int = BLOCK_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
     """(doc, size, source_size, target, pieces), a row for each row of ``docs``.
 
-    ``doc`` is a struct of the ``carried`` columns. A source's documents stand in an
-    order by MD5 of doc_id, one after the other and again from the start, until its
-    target (rounded) is reached; the document it ends in is cut there. This stream is
-    dealt in blocks: the tree gives each shard a quota of every source's blocks, a
-    permutation says which. ``pieces`` tells what the mix takes of a document: pass,
-    shard, order in the shard and number of words (from the text's first on); a piece
-    belongs to the block it begins in. All draws are seeded, so reruns agree.
-
-    A null text has no words. Documents without a source are a source of their own,
-    documents without a doc_id take their place by their text. Rows alike in doc_id,
-    source and size are interchangeable. An empty table gives an empty result.
-    Running totals are taken within sections of a source, sections of a chapter and
-    chapters of a source, so that no task gathers a large source.
+    ``doc`` is a struct of the ``carried`` columns. A document's block, of its source, is
+    told by a hash of its doc_id and text. The blocks that the shards draw decide what the
+    mix takes: all documents of a drawn block, of the block in which the source's target
+    (rounded) is reached those that stand before it, in order of their hashes, and of the
+    last of these its first words. ``pieces`` tells what is taken of a document: pass,
+    shard, order in the shard and number of words. All draws are seeded: another seed
+    takes other documents, and reruns agree.
+
+    A null text has no words and is never taken, nor is a blank one. Documents without a
+    source are a source of their own. Rows alike in doc_id, source and text are
+    interchangeable. An empty table gives an empty result. No task gathers a source:
+    windows are over a source's blocks, a bounded number, and a block's documents.
     """
-    turn = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         F.struct(*(F.col(f"`{name}`") for name in carried)).alias("doc"),
         F.col("source"),
         # Never null, so that plain joins find it.
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("of"),
         word_count(F.col("text")).alias("size"),
-        F.md5(turn.cast("binary")).alias("turn"),
-        F.col("doc_id").alias("turn_id"),
-    ).withColumn("section", F.substring("turn", 1, 4))
-    sections = rows.groupBy("of", "section").agg(
-        F.first("source").alias("source"), F.sum("size").alias("words_in")
-    )
-    sizes = sections.groupBy("of").agg(
-        F.first("source").alias("source"), F.sum("words_in").alias("source_size")
-    )
-    targets = source_targets(sizes, weights, budget, repeats)
-    words = F.floor(F.col("target") + 0.5).cast("long")
-    targets = targets.withColumn("words", words).withColumn(
-        "quota", F.ceil(F.col("words") / block_words).cast("long")
-    )
-    # Running totals of a source's 256 chapters, then of a chapter's 256 sections.
-    sections = sections.withColumn("chapter", F.substring("section", 1, 2))
-    chapters = sections.groupBy("of", "chapter").agg(F.sum("words_in").alias("words_in"))
-    chapters = chapters.select(
-        "of", "chapter", _sum_before("words_in", ["of"], "chapter").alias("chapter_before")
-    )
-    in_chapter = _sum_before("words_in", ["of", "chapter"], "section")
-    info = (
-        sections.select("of", "chapter", "section", in_chapter.alias("words_before"))
-        .join(chapters, ["of", "chapter"])
-        .withColumn("words_before", F.col("words_before") + F.col("chapter_before"))
-        .drop("chapter", "chapter_before")
-        .join(targets.drop("source"), "of")
-        .join(shard_quotas(targets.select("of", "quota"), shards, seed), "of")
-    )
-    in_section = _sum_before("size", ["of", "section"], "turn", "turn_id", "size")
+        F.md5(F.concat(name, F.lit("/"), text).cast("binary")).alias("turn"),
+    ).withColumn("block", F.substring("turn", 1, BLOCK_DIGITS))
+    drawn = blocks_drawn(rows, weights, budget, repeats, shards, seed)
+    order = Window.partitionBy("of", "block").orderBy("turn", "size")
+    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
     # The only shuffle of the documents serves both the window and the join.
-    placed = rows.withColumn("within", in_section).join(info, ["of", "section"])
-    begin = F.col("words_before") + F.col("within")
-
-    def piece(k: int) -> Column:
-        at = F.col("source_size") * k + begin
-        block = F.floor(at / block_words).cast("long")
-        quota = F.greatest("quota", F.lit(1))
-        offset = F.pmod(F.xxhash64("of", F.lit(seed)), quota)
-        rank = F.pmod(block * F.pmod(F.lit(STRIDE), quota) + offset, quota)
-        return F.struct(
-            F.lit(k).alias("pass"),
-            F.size(F.filter("ends", lambda end: end <= rank)).alias("shard"),
-            F.xxhash64("turn", F.lit(k), F.lit(seed)).alias("order"),
-            F.least(F.col("size"), F.col("words") - at).alias("words"),
-        )
-
-    pieces = F.filter(
-        F.array(*(piece(k) for k in range(repeats))), lambda p: p["words"] > 0
+    placed = (
+        rows.drop("source")
+        .withColumn("within", F.coalesce(before, F.lit(0)))
+        # Tells rows that repeat apart, so that they are not all put in one place.
+        .withColumn("nth", F.row_number().over(order))
+        .join(drawn, ["of", "block"])
+    )
+    pieces = F.transform(
+        "draws",
+        lambda d: F.struct(
+            d["pass"].alias("pass"),
+            d["shard"].alias("shard"),
+            F.xxhash64("turn", "nth", d["pass"], F.lit(seed)).alias("order"),
+            F.least(F.col("size"), F.col("words") - d["begins"] - F.col("within")).alias("words"),
+        ),
     )
+    pieces = F.filter(pieces, lambda p: p["words"] > 0)
     return placed.select("doc", "size", "source_size", "target", pieces.alias("pieces"))
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
-    """The mixed documents in the columns of ``docs``, each as often as it is taken.
-
-    Documents are whole: one that the end of its source's target cuts is taken if that is
-    nearer to the target than leaving it out. ``mixed_shards`` has the shards.
+    """The mixed documents in the columns of ``docs``, each as often as it is taken, in
+    mixed order: shard by shard, and shuffled within each.
+
+    The order is that of the result's partitions and of the rows within them, which a
+    write keeps in the names of its files. Documents are whole: one that the end of its
+    source's target cuts is taken if that is nearer to the target than leaving it out.
+    Documents without a word are not in the mix; for nulls, repeated rows and empty
+    tables see ``plan``. ``mixed_shards`` has the shards.
     """
     taken, columns = _taken(docs, settings)
-    return taken.select(*columns)
+    order = ["piece.shard", "piece.order"]
+    return (
+        taken.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
+    )
 
 
 def mixed_shards(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` as mixed, with ``mix_shard`` and ``mix_order``, its order in the shard,
-    in place of columns of these names."""
+    in place of columns of these names; see ``mix`` for what is taken."""
     taken, columns = _taken(docs.drop("mix_shard", "mix_order"), settings)
     return taken.select(
         *columns,
@@ -238,10 +266,14 @@ def _taken(docs: DataFrame, settings: dict) -> tuple[DataFrame, list[Column]]:
 
 
 def write_shards(docs: DataFrame, path: str, **settings) -> None:
-    """The mix as Parquet, a folder for each shard, rows in their shuffled order."""
+    """The mix as Parquet, a folder for each shard, rows in their shuffled order.
+
+    A shard's files are in the order of their names. An empty mix writes no folder; for
+    what is taken see ``mix``.
+    """
     (
         mixed_shards(docs, **settings)
-        .repartition("mix_shard")
+        .repartitionByRange("mix_shard", "mix_order")
         .sortWithinPartitions("mix_shard", "mix_order")
         .write.partitionBy("mix_shard")
         .parquet(path)

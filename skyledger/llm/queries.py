@@ -145,7 +145,8 @@ ORACLE_SQL: dict[str, str] = {
         WITH sized AS (
             SELECT doc_id, source,
                 len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                md5(coalesce(doc_id::VARCHAR, text, '')) AS turn
+                coalesce('=' || source, '') AS of_source,
+                md5(concat(coalesce(doc_id::VARCHAR, ''), '/', coalesce(text, ''))) AS turn
             FROM documents),
         sources AS (
             SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
@@ -168,15 +169,26 @@ ORACLE_SQL: dict[str, str] = {
             SELECT source, source_size,
                 coalesce(least(most::DOUBLE, water * weight), most::DOUBLE) AS target
             FROM levels, water),
-        placed AS (
-            SELECT doc_id, size, source, coalesce(sum(size) OVER (
-                PARTITION BY source ORDER BY turn, doc_id NULLS FIRST, size
+        blocks AS (
+            SELECT of_source, turn[:4] AS block, sum(size)::BIGINT AS words_in
+            FROM sized GROUP BY ALL),
+        drawn AS (
+            SELECT of_source, block, pass, coalesce(sum(words_in) OVER (
+                PARTITION BY of_source, pass
+                ORDER BY md5(concat_ws('/', block, pass, 20241, of_source)), block
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+            FROM blocks, (VALUES (0), (1)) AS passes (pass)),
+        placed AS (
+            SELECT row_number() OVER () AS r, *, turn[:4] AS block, coalesce(sum(size) OVER (
+                PARTITION BY of_source, turn[:4] ORDER BY turn, size
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS within
             FROM sized)
         SELECT doc_id, size, source_size, target,
-            (greatest(0, least(size, floor(target + 0.5) - begins))
-                + greatest(0, least(size, floor(target + 0.5) - source_size - begins)))::BIGINT AS taken
+            sum(greatest(0, least(size, floor(target + 0.5)
+                - pass * source_size - begins - within)))::BIGINT AS taken
         FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source
+            JOIN drawn USING (of_source, block)
+        GROUP BY r, doc_id, size, source_size, target
     """,
     "op7_embeddings": """
         WITH RECURSIVE vectors AS (

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import components, stored
@@ -49,14 +49,14 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(packed, "big", signed=True)
 
 
-def with_fingerprint(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint as a long) of every document."""
+def with_fingerprint(docs: DataFrame, *carried: Column) -> DataFrame:
+    """(doc_id, carried columns, fingerprint as a long) of every document."""
 
     @F.pandas_udf("long")
     def hashed(texts: pd.Series) -> pd.Series:
         return texts.map(fingerprint).astype("int64")
 
-    return docs.select("doc_id", hashed("text").alias("fingerprint"))
+    return docs.select("doc_id", *carried, hashed("text").alias("fingerprint"))
 
 
 # The trie join
@@ -246,6 +246,16 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     that thousands of copies cost as much as one document.
     """
     rows = stored(with_fingerprint(docs), "fingerprints")
+    return _in_components(rows, max_bits).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _in_components(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``rows`` (doc_id, fingerprint, others) with their ``component_id`` and ``root``, the
+    component's smallest fingerprint, which no other component has."""
     distinct = stored(
         rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct"
     )
@@ -260,25 +270,35 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
     per_value = rooted.join(roots, "component", "left").select(
         "fingerprint",
+        F.coalesce("component", "fingerprint").alias("root"),
         F.when(F.col("component").isNull(), F.col("first_id"))
         .otherwise(F.col("root_id"))
         .alias("component_id"),
     )
-    return rows.join(per_value, "fingerprint").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    return rows.join(per_value, "fingerprint")
 
 
 def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents that are the first of their component, in the columns of ``docs``.
-
-    Rows that repeat both the doc_id and the text of another go too. Rows without a
-    doc_id stay: nothing names them.
+    """One document of each component, in the columns of ``docs``: that of the smallest
+    doc_id.
+
+    A row is told by its doc_id and its text, so of several texts under one doc_id each is
+    kept or goes with its own component; where a component has more than one under its
+    smallest doc_id, a hash of the text decides. Of rows that repeat both, one stays.
+    Rows without a doc_id all stay: nothing names them. An empty table gives an empty
+    result.
     """
-    found = near_duplicates(docs, max_bits)
-    first = found.filter(F.col("doc_id") == F.col("component_id"))
-    kept = docs.join(first.select("doc_id").distinct(), "doc_id", "left_semi")
+    own = F.xxhash64("doc_id", "text").alias("row")
+    rows = stored(with_fingerprint(docs, own), "fingerprints")
+    chosen = (
+        _in_components(rows.filter(F.col("doc_id").isNotNull()), max_bits)
+        .groupBy("root")
+        .agg(F.min(F.struct("doc_id", "row")).alias("first"))
+        .select("first.doc_id", "first.row")
+    )
+    same = (F.col("d.doc_id") == F.col("c.doc_id")) & (
+        F.xxhash64("d.doc_id", "d.text") == F.col("c.row")
+    )
+    kept = docs.alias("d").join(chosen.alias("c"), same, "left_semi")
     unnamed = docs.filter(F.col("doc_id").isNull())
     return kept.dropDuplicates(["doc_id", "text"]).unionByName(unnamed)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import stored
@@ -226,10 +227,13 @@ def _segments(path: str):
         def segment() -> pa.RecordBatch:
             lengths = np.array([len(ids) for ids in held], np.int64)
             data = encode_segment(np.concatenate(held), lengths, names)
+            starts = np.cumsum(lengths) - lengths
             columns = {
                 "part": pa.array([part], pa.int32()),
                 "number": pa.array([number], pa.int64()),
                 "n_ids": pa.array([int(lengths.sum())], pa.int64()),
+                "doc_ids": pa.array([names], pa.list_(pa.int64())),
+                "starts": pa.array([starts.tolist()], pa.list_(pa.int64())),
                 "data": pa.array([data], pa.binary()),
             }
             return pa.RecordBatch.from_pydict(columns)
@@ -272,28 +276,48 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(columns)
 
 
-def write_segments(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """The stored segments (part, number, n_ids, data) of all documents by doc_id.
-
-    Documents stand in ascending doc_id, those without one first, and end with id 0. A
-    part is what one task wrote, in order. Spark's writer commits the segments, so a
-    lost executor leaves no half of one, and any store that Spark reaches can hold them.
-    A null text counts as empty; repeated rows are written repeatedly, those of one
-    doc_id in order of a hash of their text; an empty table gives no segment.
+# How segments are stored: as they are, each in a page of its own, so that a filter on part
+# and number reads the pages of single segments and nothing is decompressed.
+STORAGE = {
+    "compression": "none",
+    "parquet.page.row.count.limit": 1,
+    "parquet.page.size.row.check.min": 1,
+    "parquet.page.size.row.check.max": 1,
+}
+
+
+def write_segments(
+    docs: DataFrame, tokenizer: str | None = None, order: Sequence[Column] = ()
+) -> DataFrame:
+    """The stored segments (part, number, n_ids, doc_ids, starts, data) of all documents.
+
+    Documents stand in ``order``, or in ascending doc_id, those without one first, and end
+    with id 0. A part is what one task wrote, in order. Beside its data a segment has the
+    doc_ids of its documents and the places at which they start. Spark's writer commits
+    the segments, so a lost executor leaves no half of one, and any store that Spark
+    reaches can hold them. A null text counts as empty; repeated rows are written
+    repeatedly, without ``order`` those of one doc_id in order of a hash of their text; an
+    empty table gives no segment.
     """
     # The hash deals a doc_id that many rows share, null above all, over several parts.
+    keys = [key.alias(f"key_{k}") for k, key in enumerate(order)] or [
+        F.col("doc_id").alias("key_0"), F.xxhash64("text").alias("key_1")
+    ]
+    names = [f"key_{k}" for k in range(len(keys))]
     ordered = (
-        docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
-        .repartitionByRange("doc_id", "hash")
-        .sortWithinPartitions("doc_id", "hash")
+        docs.select("doc_id", "text", *keys)
+        .repartitionByRange(*names)
+        .sortWithinPartitions(*names)
+    )
+    schema = (
+        "part int, number long, n_ids long, doc_ids array<long>, starts array<long>, data binary"
     )
-    schema = "part int, number long, n_ids long, data binary"
     segments = ordered.mapInArrow(_segments(tokenizer or vocabulary()), schema)
-    return stored(segments, "token-segments")
+    return stored(segments, "token-segments", **STORAGE)
 
 
-def read_documents(segments: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the segments alone."""
+def _segment_starts(segments: DataFrame) -> DataFrame:
+    """(part, number, start): the place of a segment's first id among all ids."""
     sizes = segments.select("part", "number", "n_ids")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
@@ -306,20 +330,130 @@ def read_documents(segments: DataFrame) -> DataFrame:
         .orderBy("number")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select(
-        "part", "number", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("inner")
-    ).join(parts, "part")
+    inner = F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("inner")
+    return (
+        sizes.select("part", "number", inner)
+        .join(parts, "part")
+        .select("part", "number", (F.col("part_start") + F.col("inner")).alias("start"))
+    )
+
+
+def read_documents(segments: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the segments alone.
+
+    Starts are in the order in which the documents were written. Documents without a
+    doc_id and repeated rows have rows of their own; no segments give no rows.
+    """
     schema = (
         "part int, number long, doc_id long, offset long, n_tokens long, ids_crc32 long"
     )
     return (
         segments.select("part", "number", "data")
         .mapInArrow(_documents, schema)
-        .join(starts, ["part", "number"])
+        .join(_segment_starts(segments), ["part", "number"])
         .select(
             "doc_id",
-            (F.col("part_start") + F.col("inner") + F.col("offset")).alias("start"),
+            (F.col("start") + F.col("offset")).alias("start"),
             "n_tokens",
             "ids_crc32",
         )
     )
+
+
+# Segments that are asked for by name; of more, all are read.
+NAMED_SEGMENTS = 1_000
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for data, asked in zip(batch.column("data"), batch.column("asked").to_pylist()):
+            segment = Segment(data.as_py())
+            tokens = [segment.token(one["at"]) for one in asked]
+            columns = {
+                "request": pa.array([one["request"] for one in asked], pa.int64()),
+                "nth": pa.array([one["nth"] for one in asked], pa.int64()),
+                "token": pa.array(tokens, pa.int64()),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def _looked_up(segments: DataFrame, asked: DataFrame) -> DataFrame:
+    """(request, nth, token) for (part, number, at, request, nth): the ids at these places
+    of their segments. Only those segments are read, and of each id only its chunks."""
+    asked = stored(asked, "token-requests")
+    named = asked.select("part", "number").distinct().limit(NAMED_SEGMENTS + 1).collect()
+    if len(named) <= NAMED_SEGMENTS:
+        # Reaches the pages: a segment has one of its own.
+        one = [(F.col("part") == p) & (F.col("number") == n) for p, n in named]
+        segments = segments.filter(reduce(lambda a, b: a | b, one, F.lit(False)))
+    per_segment = asked.groupBy("part", "number").agg(
+        F.collect_list(F.struct("at", "request", "nth")).alias("asked")
+    )
+    return (
+        segments.select("part", "number", "data")
+        .join(per_segment, ["part", "number"])
+        .select("data", "asked")
+        .mapInArrow(_tokens, "request long, nth long, token long")
+    )
+
+
+def read_tokens(segments: DataFrame, requests: DataFrame) -> DataFrame:
+    """(doc_id, place, token): the id at each ``place``, from 0, of the document ``doc_id``.
+
+    ``requests`` has doc_id and place; those that repeat are answered once. Segments are
+    found by their lists of doc_ids and the ids in them by rank, without decoding others.
+    A place that no document of this doc_id has, or a null one, gets a null token;
+    documents that share a doc_id give a row each.
+    """
+    requests = requests.select(F.col("doc_id").cast("long"), F.col("place").cast("long"))
+    requests = stored(
+        requests.distinct().withColumn("request", F.xxhash64("doc_id", "place")), "token-asked"
+    )
+    ends = F.concat(F.slice("starts", 2, F.size("starts")), F.array("n_ids"))
+    entries = segments.select(
+        "part", "number", F.explode(F.arrays_zip("doc_ids", "starts", ends.alias("ends"))).alias("e")
+    ).select("part", "number", "e.doc_ids", "e.starts", "e.ends")
+    found = (
+        requests.join(entries, F.col("doc_id") == F.col("doc_ids"))
+        .filter((F.col("place") >= 0) & (F.col("place") < F.col("ends") - F.col("starts")))
+        .select(
+            "part",
+            "number",
+            (F.col("starts") + F.col("place")).alias("at"),
+            "request",
+            F.xxhash64("part", "number", "starts").alias("nth"),
+        )
+    )
+    tokens = _looked_up(segments, found)
+    return requests.join(tokens, "request", "left").select("doc_id", "place", "token")
+
+
+def read_places(segments: DataFrame, places: DataFrame) -> DataFrame:
+    """(place, token): the id at each ``place`` of all ids, as ``start`` counts them.
+
+    Places that repeat are answered once; those before the first id, beyond the last, or
+    null get a null token.
+    """
+    places = places.select(F.col("place").cast("long")).distinct()
+    # Segments and places meet by a grid as wide as a usual segment.
+    last = F.col("start") + F.col("n_ids") - 1
+    cells = F.sequence(F.floor(F.col("start") / SEGMENT_IDS), F.floor(last / SEGMENT_IDS))
+    spans = (
+        segments.select("part", "number", "n_ids")
+        .join(_segment_starts(segments), ["part", "number"])
+        .withColumn("cell", F.explode(cells))
+    )
+    here = F.col("place") - F.col("start")
+    found = (
+        places.withColumn("cell", F.floor(F.col("place") / SEGMENT_IDS))
+        .join(spans, "cell")
+        .filter((here >= 0) & (here < F.col("n_ids")))
+        .select(
+            "part", "number", here.alias("at"), F.col("place").alias("request"),
+            F.lit(0).cast("long").alias("nth"),
+        )
+    )
+    tokens = _looked_up(segments, found)
+    return places.join(tokens, F.col("place") == F.col("request"), "left").select(
+        "place", "token"
+    )

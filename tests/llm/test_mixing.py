@@ -1,0 +1,224 @@
+"""The shards' drawn blocks decide what the mix takes, and their order is kept."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import corpus_pipeline  # noqa: E402
+from skyledger.llm import mixing, token_store  # noqa: E402
+from skyledger.llm.common import file_order, stored  # noqa: E402
+
+SCHEMA = "doc_id long, text string, source string, size int, block string, draws int, of long"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(4)
+    out = [
+        (k, " ".join(["w"] * rng.randint(0, 30)) + f" t{k}", "abc"[min(2, k % 7 // 2)])
+        for k in range(600)
+    ]
+    out += [(k, "x " * 5000, "a") for k in (700, 701)] + [(702, None, "b"), (703, " \n", None)]
+    # Rows that repeat, other texts under one id, no ids, no sources.
+    out += [out[5]] * 40 + [(3, f"other {k}", "c") for k in range(30)]
+    out += [(None, f"nameless {k} {k}", None) for k in range(30)] + [(None, None, None)]
+    return [(*r, 1, "b", 2, 3) for r in out]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def taken_by_hand(rows, seed, weights=(5, 2, 1), budget=1.5, repeats=2, digits=4):
+    """Words taken of each distinct (doc_id, text, source), block by block."""
+    def words(text):
+        return len((text or "").encode().split())
+
+    sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(words(r[1]) for r in rows if r[2] == s) for s in sources}
+    weight = {s: weights[k % 3] for k, s in enumerate(sources)}
+    target, full = {}, set()
+    while True:
+        rest = budget * sum(size.values()) - sum(repeats * size[s] for s in full)
+        open_weight = sum(weight[s] for s in sources if s not in full)
+        target = {
+            s: repeats * size[s] if s in full else rest * weight[s] / open_weight for s in sources
+        }
+        over = {s for s in sources if s not in full and target[s] > repeats * size[s]}
+        if not over:
+            break
+        full |= over
+    out, draws = {}, {}
+    for s in sources:
+        blocks, of = {}, "" if s is None else f"={s}"
+        for doc_id, text in sorted(
+            ((r[0], r[1]) for r in rows if r[2] == s), key=lambda r: hashed(*r)
+        ):
+            blocks.setdefault(hashed(doc_id, text)[:digits], []).append((doc_id, text))
+        left, n = int(target[s] + 0.5), 0
+        for k in range(repeats):
+            order = sorted(
+                blocks,
+                key=lambda b: hashlib.md5("/".join([b, str(k), str(seed), of]).encode()).hexdigest(),
+            )
+            for block in order:
+                n += left > 0
+                for doc_id, text in blocks[block]:
+                    part = min(left, words(text))
+                    out[doc_id, text, s] = out.get((doc_id, text, s), 0) + part
+                    left -= part
+        draws[s] = n
+    return out, target, draws
+
+
+def hashed(doc_id, text):
+    name = "" if doc_id is None else str(doc_id)
+    return hashlib.md5(f"{name}/{text or ''}".encode()).hexdigest()
+
+
+def planned(docs, **settings):
+    return mixing.plan(docs, "doc_id", "text", "source", **settings).collect()
+
+
+@pytest.mark.parametrize("seed", [mixing.SEED, 2])
+def test_drawn_blocks_decide(docs, rows, seed):
+    expected, target, draws = taken_by_hand(rows, seed)
+    found, sums, pieces = {}, {}, []
+    for row in planned(docs, seed=seed, shards=8):
+        key = tuple(row["doc"])
+        words = [p["words"] for p in row["pieces"]]
+        assert sum(words) <= 2 * row["size"] and all(0 < w <= row["size"] for w in words)
+        assert len({p["pass"] for p in row["pieces"]}) == len(words)
+        found[key] = found.get(key, 0) + sum(words)
+        sums[key[2]] = sums.get(key[2], 0) + sum(words)
+        pieces += [(key, p) for p in row["pieces"]]
+        assert row["target"] == pytest.approx(target[key[2]])
+    assert found == expected
+    assert all(abs(sums[s] - target[s]) <= 0.5 for s in target)
+    # Every block that is drawn goes to one shard in each pass.
+    homes = {}
+    for (doc_id, text, source), p in pieces:
+        homes.setdefault((source, hashed(doc_id, text)[:4], p["pass"]), set()).add(p["shard"])
+    assert all(len(shards) == 1 for shards in homes.values())
+
+
+def test_quotas_are_exact(spark, docs, rows):
+    _, _, draws = taken_by_hand(rows, mixing.SEED)
+    quotas = spark.createDataFrame(
+        [(f"={s}" if s else "", n) for s, n in draws.items()], "of string, quota long"
+    )
+    ends = {r["of"]: r["ends"] for r in mixing.shard_quotas(quotas, 8).collect()}
+    held = {}
+    for row in planned(docs, shards=8):
+        of = "" if row["doc"]["source"] is None else "=" + row["doc"]["source"]
+        for p in row["pieces"]:
+            held.setdefault(of, {}).setdefault(p["shard"], set()).add(
+                (hashed(row["doc"]["doc_id"], row["doc"]["text"])[:4], p["pass"])
+            )
+    for of, own in ends.items():
+        quota = np.diff([0, *own])
+        # Blocks without a word are drawn, too, and hold no piece.
+        assert all(len(held.get(of, {}).get(k, ())) <= quota[k] for k in range(8))
+        assert sum(quota) - sum(map(len, held.get(of, {}).values())) <= 4
+
+
+def test_another_seed_takes_other_documents(docs):
+    def taken(seed):
+        return {tuple(r["doc"]): sum(p["words"] for p in r["pieces"]) for r in planned(docs, seed=seed)}
+
+    one, again, two = taken(1), taken(1), taken(2)
+    assert one == again
+    assert sum(one[k] != two[k] for k in one) > 50
+
+
+def test_the_mixed_order_is_kept_in_the_token_files(spark, docs, rows):
+    shards = mixing.mixed_shards(docs)
+    order = [
+        (r["doc_id"], r["text"])
+        for r in shards.orderBy("mix_shard", "mix_order").select("doc_id", "text").collect()
+    ]
+    mixed = stored(mixing.mix(docs), "mixed")
+    assert mixed.columns == docs.columns
+    in_files = mixed.orderBy(*file_order(mixed)).select("doc_id", "text").collect()
+    assert [tuple(r) for r in in_files] == order
+    tokens = corpus_pipeline.write_tokens(spark, mixed, "").orderBy("start").collect()
+    assert [r["doc_id"] for r in tokens] == [doc_id for doc_id, _ in order]
+    assert order != sorted(order, key=repr) and file_order(docs.limit(3)) == []
+
+
+def test_shards_are_written_in_order(spark, docs, tmp_path):
+    path = str(tmp_path / "shards")
+    mixing.write_shards(docs, path, shards=4)
+    whole = {}
+    for r in mixing.mixed_shards(docs, shards=4).orderBy("mix_shard", "mix_order").collect():
+        whole.setdefault(r["mix_shard"], []).append(r["mix_order"])
+    for k, expected in whole.items():
+        files = sorted(Path(path, f"mix_shard={k}").glob("part-*"))
+        read = [
+            r["mix_order"] for f in files for r in spark.read.parquet(str(f)).collect()
+        ]
+        assert read == expected
+    empty = docs.limit(0)
+    mixing.write_shards(empty, str(tmp_path / "none"))
+    assert mixing.mix(empty).collect() == [] and mixing.mixed_shards(empty).collect() == []
+    assert not list(Path(tmp_path, "none").glob("mix_shard=*"))
+
+
+def test_tokens_by_document_and_place(spark, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_store.vocabulary())
+    texts = {k: f"{rows[k][1]} Überall {k} 日本語" for k in range(300)} | {900: "long " * 9000, 901: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    segments = token_store.write_segments(docs.unionByName(docs.filter("doc_id = 7")))
+    ids = {
+        k: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for k, t in texts.items()
+    }
+    rng = random.Random(3)
+    asked = [(k, rng.randrange(len(ids[k]))) for k in rng.choices(list(ids), k=1000)]
+    odd = [(900, len(ids[900]) - 1), (900, len(ids[900])), (5, -1), (12345, 0), (None, 1), (5, None)]
+    requests = spark.createDataFrame(asked + odd, "doc_id long, place long")
+    found = [tuple(r) for r in token_store.read_tokens(segments, requests).collect()]
+    expected = {
+        (k, p, ids[k][p] if k in ids and p is not None and 0 <= p < len(ids[k]) else None)
+        for k, p in asked + odd
+    }
+    assert set(found) == expected
+    assert len(found) == len(expected) + sum(k == 7 for k, _, _ in expected)
+
+
+def test_places_and_only_the_segments_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "SEGMENT_IDS", 64)
+    texts = [(k, f"the {k} words of {k * k} and so on") for k in range(400)] + [(500, "a " * 999)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    segments = token_store.write_segments(docs)
+    whole = []
+    for row in segments.orderBy("part", "number").collect():
+        whole += token_store.Segment(bytes(row["data"])).ids().tolist()
+    places = [0, 5, len(whole) - 1, len(whole), -3, None, *range(100, 4000, 37)]
+    found = token_store.read_places(
+        segments, spark.createDataFrame([(p,) for p in places + places], "place long")
+    ).collect()
+    assert len(found) == len(set(places))
+    inside = {p: whole[p] for p in places if p is not None and 0 <= p < len(whole)}
+    assert {r["place"]: r["token"] for r in found} == {p: inside.get(p) for p in places}
+    monkeypatch.setattr(token_store, "NAMED_SEGMENTS", 3)
+    many = token_store.read_places(segments, spark.createDataFrame([(p,) for p in places], "place long"))
+    assert {r["place"]: r["token"] for r in many.collect()} == {p: inside.get(p) for p in places}
+    # A filter on a segment's name reads its page alone.
+    one = segments.filter("part = 0 AND number = 40").select("data")
+    assert one.count() == 1
+    one.collect()
+    plan = one._jdf.queryExecution().executedPlan()
+    leaf = plan.collectLeaves().apply(0)
+    assert leaf.metrics().apply("numOutputRows").value() == 1 < segments.count()

@@ -158,7 +158,7 @@ def test_keep_first(odd, empty):
 
 
 def test_mixing(odd, odd_rows, empty):
-    found = mixing.plan(odd, "doc_id", "source", block_words=16, shards=8).collect()
+    found = mixing.plan(odd, "doc_id", "source", shards=8).collect()
     assert len(found) == len(odd_rows)
     by_source = {}
     for row in found:
@@ -169,7 +169,7 @@ def test_mixing(odd, odd_rows, empty):
         by_source[row["doc"]["source"]] = target, taken + total
     for target, taken in by_source.values():
         assert abs(target - taken) <= 0.5
-    again = mixing.plan(odd, "doc_id", "source", block_words=16, shards=8).collect()
+    again = mixing.plan(odd, "doc_id", "source", shards=8).collect()
     assert ordered(again) == ordered(found)
     assert mixing.plan(empty, "doc_id").collect() == []
     assert mixing.mix(odd).columns == odd.columns
@@ -415,7 +415,7 @@ def test_embeddings_of_doubles_are_not_rounded(spark):
 @pytest.mark.parametrize("key", ORACLE_SQL)
 def test_query_agrees_with_sql(spark, key):
     with duckdb.connect() as connection:
-        for table in ("documents", "embeddings", "pages"):
+        for table in ("documents", "embeddings", "pages", "benchmark"):
             connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
         cursor = connection.execute(ORACLE_SQL[key])
         columns = [c[0] for c in cursor.description]
