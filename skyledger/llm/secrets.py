@@ -23,7 +23,8 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 KINDS = ("assign", "access", "hex", "random")
 
 # Shortest string that is tested for randomness, the share of ordinary strings among
-# those reported that is accepted, and the significance of the battery.
+# those reported that is accepted, and the p-value below which a test of the battery
+# speaks against a string's being random, so that parts of it are tested as well.
 LEAST_RANDOM = 20
 FALSE_DISCOVERIES = 0.01
 SIGNIFICANCE = 0.001
@@ -34,14 +35,21 @@ LENGTH_CLASSES = (32, 64, 128)
 # Tenths of a power of ten in which p-values are counted, and how many of them.
 P_STEPS, P_BINS = 10, 400
 
+# White space, which no string holds, and what is added to every count of two bytes.
+BLANKS = b" \t\n\x0b\x0c\r"
+SMOOTHING = 0.5
+
 # Characters of whole documents handled together; bounds memory, not the result.
 BYTES_AT_ONCE = 4_000_000
 
 ALPHABETS = {
     "hex": b"0123456789abcdef",
     "hex-upper": b"0123456789ABCDEF",
+    "lower": b"abcdefghijklmnopqrstuvwxyz",
+    "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base32": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": b"0123456789abcdefghijklmnopqrstuvwxyz",
+    "letters": b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
@@ -56,12 +64,9 @@ def _table(*classes: tuple[bytes, int]) -> np.ndarray:
 
 
 _HEX = _table((b"0123456789abcdef", 1))
-# Classes of the characters that long encoded strings are made of; 0 is none.
-_CLASS = _table(
-    (b"abcdefghijklmnopqrstuvwxyz", 1),
-    (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", 2),
-    (b"0123456789", 3),
-    (b"+/_-=", 4),
+# The characters that long encoded strings are made of.
+_INSIDE = _table(
+    (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", 1)
 )
 _ALPHABET_ROWS = {}
 for _name, _members in ALPHABETS.items():
@@ -73,6 +78,9 @@ for _name, _members in ALPHABETS.items():
 # Pieces of a stretch in base64, in base64url and without any separator.
 _PIECES = [re.compile(p) for p in (rb"[^_-]+", rb"[^+/]+", rb"[^+/_-]+")]
 
+# Digits with letters of one case among them.
+_GROUPED = re.compile(rb"[0-9]*[a-f][0-9a-f]*|[0-9]*[A-F][0-9A-F]*")
+
 
 def _runs(inside: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Maximal stretches of true values, of ``least`` and more."""
@@ -122,29 +130,40 @@ def _parts(whole: bytes, a: int, b: int) -> Iterator[tuple[int, int]]:
         yield a + part.start(), b if end == last else end
 
 
-def _candidates(whole: bytes, a: int, b: int) -> list[tuple[int, int, str, float]]:
-    """(start, end, encoding, p) of the strings to control in a stretch without inner =.
+def _candidates(whole: bytes, a: int, b: int) -> list[tuple[int, int, bytes, str, float]]:
+    """(start, end, characters, encoding, p) of the strings to control in a stretch
+    without inner =.
 
     The stretch itself, if an alphabet has it. Where none has or a test speaks against
     it, also its longest pieces in the alphabets without some of the separators, unless
-    within a piece that passes.
+    within a piece that passes; and where no piece passes, hexadecimal groups between
+    ``-`` and ``_`` put together, as in a UUID.
     """
-    tested = battery(whole[a:b])
-    found = [(a, b, *tested)] if tested else []
-    if tested and tested[1] >= SIGNIFICANCE:
+    found: list[tuple[int, int, bytes, str, float]] = []
+
+    def passes(start: int, end: int, body: bytes) -> bool:
+        if len(body) < LEAST_RANDOM or any(f[:3] == (start, end, body) for f in found):
+            return False
+        tested = battery(body)
+        if tested:
+            found.append((start, end, body, *tested))
+        return tested is not None and tested[1] >= SIGNIFICANCE
+
+    body = whole[a:b].rstrip(b"=")
+    if passes(a, b, body):
         return found
     passed: list[tuple[int, int]] = []
     for pattern in _PIECES:
-        for piece in pattern.finditer(whole, a, b):
+        for piece in pattern.finditer(whole, a, a + len(body)):
             start, end = piece.span()
-            seen = any(f[:2] == (start, end) for f in found)
-            if end - start < LEAST_RANDOM or seen or any(x <= start and end <= y for x, y in passed):
-                continue
-            tested = battery(whole[start:end])
-            if tested:
-                found.append((start, end, *tested))
-                if tested[1] >= SIGNIFICANCE:
-                    passed.append((start, end))
+            if not any(x <= start and end <= y for x, y in passed):
+                # What ends the stretch ends its last piece.
+                last = b if end == a + len(body) else end
+                if passes(start, last, piece[0]):
+                    passed.append((start, last))
+    joined = body.translate(None, b"-_")
+    if not passed and _GROUPED.fullmatch(joined):
+        passes(a, b, joined)
     return found
 
 
@@ -167,16 +186,9 @@ def _scan_texts(texts: list[bytes]) -> dict[str, list]:
             base.append((found.start(), 1, found.end()))
     base += [(a, 2, b) for a, b in _runs(_HEX[data] == 1, LEAST_HEX)]
     base.sort()
-    kind = _CLASS[data]
-    joint = (kind[1:] > 0) & (kind[:-1] > 0)
-    change = joint & (kind[1:] != kind[:-1])
+    inside = _INSIDE[data]
     n = len(texts)
-    out = {
-        "spans": [[] for _ in range(n)],
-        "strings": [[] for _ in range(n)],
-        "pairs": np.add.reduceat(np.append(joint, False).astype(np.int64), starts).tolist(),
-        "changes": np.add.reduceat(np.append(change, False).astype(np.int64), starts).tolist(),
-    }
+    out = {"spans": [[] for _ in range(n)], "strings": [[] for _ in range(n)]}
 
     def place(a: int, b: int) -> tuple[int, int, int]:
         doc = int(np.searchsorted(starts, a, "right")) - 1
@@ -193,22 +205,21 @@ def _scan_texts(texts: list[bytes]) -> dict[str, list]:
     covered = np.cumsum(covered)
     strings = (
         string
-        for stretch in _runs(kind > 0, LEAST_RANDOM)
+        for stretch in _runs(inside == 1, LEAST_RANDOM)
         for a, b in _parts(whole, *stretch)
         if b - a >= LEAST_RANDOM and not covered[a:b].any()
         for string in _candidates(whole, a, b)
     )
-    for a, b, encoding, p_random in strings:
+    for a, b, body, encoding, p_random in strings:
         doc, first, last = place(a, b)
         out["strings"][doc].append(
             {
                 "start": first,
                 "end": last,
-                "length_class": _length_class(b - a),
+                "length_class": _length_class(len(body)),
+                "characters": body,
                 "encoding": encoding,
                 "p_random": p_random,
-                "pairs": b - a - 1,
-                "changes": int(change[a : b - 1].sum()),
             }
         )
     return out
@@ -220,51 +231,102 @@ _STRING = pa.struct(
         ("start", pa.int64()),
         ("end", pa.int64()),
         ("length_class", pa.int32()),
+        ("characters", pa.binary()),
         ("encoding", pa.string()),
         ("p_random", pa.float64()),
-        ("pairs", pa.int64()),
-        ("changes", pa.int64()),
     ]
 )
 _SCHEMA = (
     "doc_id long, spans array<struct<start:long,kind:int,end:long>>, "
-    "strings array<struct<start:long,end:long,length_class:int,encoding:string,"
-    "p_random:double,pairs:long,changes:long>>, pairs long, changes long"
+    "strings array<struct<start:long,end:long,length_class:int,characters:binary,"
+    "encoding:string,p_random:double>>"
 )
 
 
+def _groups(texts: pa.Array) -> Iterator[list[bytes]]:
+    """Texts, null as empty, as many at a time as ``BYTES_AT_ONCE`` allows."""
+    begin = 0
+    while begin < len(texts):
+        some, size = [], 0
+        while begin + len(some) < len(texts) and size < BYTES_AT_ONCE:
+            some.append(texts[begin + len(some)].as_py() or b"")
+            size += len(some[-1])
+        yield some
+        begin += len(some)
+
+
 def _scan_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
         begin = 0
-        while begin < len(texts):
-            some, size = [], 0
-            while begin + len(some) < len(texts) and size < BYTES_AT_ONCE:
-                some.append(texts[begin + len(some)].as_py() or b"")
-                size += len(some[-1])
+        for some in _groups(batch.column("text").cast(pa.binary())):
             found = _scan_texts(some)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id").slice(begin, len(some)),
                     "spans": pa.array(found["spans"], pa.list_(_SPAN)),
                     "strings": pa.array(found["strings"], pa.list_(_STRING)),
-                    "pairs": pa.array(found["pairs"], pa.int64()),
-                    "changes": pa.array(found["changes"], pa.int64()),
                 }
             )
             begin += len(some)
 
 
-def _p_bin(string: Column, rate: float) -> Column:
-    """Tenths of -log10 of a bound on the probability that ordinary text, which changes
-    between letters, digits and the rest at ``rate``, changes so often in a string."""
-    share = string["changes"] / string["pairs"]
-    other = F.lit(1.0) - share
-    divergence = F.when(share > 0, share * F.log(share / rate)).otherwise(0.0) + F.when(
-        other > 0, other * F.log(other / (1 - rate))
-    ).otherwise(0.0)
-    power = F.when(share > rate, string["pairs"] * divergence / math.log(10)).otherwise(0.0)
-    return F.least(F.floor(power * P_STEPS), F.lit(P_BINS)).cast("int")
+def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often a byte follows another in a task's texts, each of which stands after a
+    line feed. Not in long stretches: a secret that is copied often would look ordinary."""
+    counts = np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        for some in _groups(batch.column("text").cast(pa.binary())):
+            data = np.frombuffer(b"\n" + b"\n".join(some), np.uint8)
+            words = np.ones(len(data), bool)
+            for a, b in _runs(_INSIDE[data] == 1, LEAST_RANDOM):
+                words[a:b] = False
+            pairs = data[:-1].astype(np.int32) * 256 + data[1:]
+            counts += np.bincount(pairs[words[1:]], minlength=1 << 16)
+    pairs = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs), "n": pa.array(counts[pairs])})
+
+
+def _ordinary(docs: DataFrame) -> np.ndarray:
+    """Powers of ten of the probability of a byte after another in the corpus's words; the
+    last row is that of a first byte. From the pairs of bytes in the words of all
+    documents, of which there are at most 65,536."""
+    counts = np.zeros((256, 256))
+    pairs = docs.select("text").mapInArrow(_pair_rows, "pair long, n long")
+    for row in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        counts[divmod(row["pair"], 256)] = row["n"]
+    counts[:, np.frombuffer(BLANKS, np.uint8)] = 0
+    counts = np.vstack([counts, counts.sum(axis=0)])
+    whole = counts.sum(axis=1, keepdims=True) + 256 * SMOOTHING
+    return np.log10((counts + SMOOTHING) / whole)
+
+
+def _p_bin(string: dict, ordinary: np.ndarray) -> int:
+    """Tenths of -log10 of a string's p-value: that it is ordinary, not random.
+
+    Ordinary text has a string whose likelihood in the encoding, over that in the corpus's
+    own characters, is x or more with a probability of at most 1 / x. The tests' joint
+    p-value multiplies the likelihood, so what they speak against counts for less.
+    """
+    body = np.frombuffer(string["characters"], np.uint8)
+    size = len(ALPHABETS[string["encoding"]])
+    if not string["p_random"]:
+        return 0
+    corpus = ordinary[256, body[0]] + ordinary[body[:-1], body[1:]].sum()
+    power = -len(body) * math.log10(size) + math.log10(string["p_random"]) - corpus
+    return int(min(max(0.0, power * P_STEPS), P_BINS))
+
+
+def _binned(ordinary: np.ndarray):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = [
+                [_p_bin(string, ordinary) for string in strings] if strings else []
+                for strings in batch.column("strings").to_pylist()
+            ]
+            columns = [*batch.columns, pa.array(bins, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "bins"])
+
+    return rows
 
 
 def _least_bins(counts: list) -> dict[int, int]:
@@ -290,13 +352,15 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     as (start, kind number, end) in code points; ``spans`` also holds random strings
     (kind 3). A string is a longest stretch of ``LEAST_RANDOM`` and more letters,
     digits and ``+/_-``, with the ``=`` that end it, that no base span touches; if no
-    alphabet has it or it fails the battery, its longest pieces between ``-_``, ``+/``
-    or any of these are strings as well. It is reported if ordinary text
-    would hardly switch so often between kinds of characters (the rate is counted over
-    all words of the corpus), by a Benjamini-Hochberg control within its length class
-    over all strings of the corpus, and if no test of the battery speaks against its
-    being random in the encoding inferred: chi-squared uniformity of the alphabet, runs
-    and serial correlation.
+    alphabet has it or it fails the battery, parts of it are strings as well, see
+    ``_candidates``. Its encoding is the smallest alphabet that has its characters.
+
+    The battery tests it there: chi-squared uniformity of the alphabet, runs and serial
+    correlation, joined in one p-value of being random. The p-value of being ordinary
+    compares its likelihood in the encoding, times the battery's p-value, with that in a
+    model of the corpus's own pairs of characters. A string is reported if a
+    Benjamini-Hochberg control over all strings of the corpus of its length class lets
+    this pass and no test speaks against its being random.
 
     A null or empty text has no spans. Repeated rows stay repeated; other columns are
     ignored; an empty table gives an empty result. The p-values are counted in bins, so
@@ -304,13 +368,15 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """
     scanned = stored(
         docs.select("doc_id", "text").mapInArrow(_scan_rows, _SCHEMA), "scanned"
-    )
-    total = scanned.agg(F.sum("pairs"), F.sum("changes")).first()
-    rate = min(0.5, max(1e-6, (total[1] or 0) / max(1, total[0] or 0)))
-    string = F.col("string")
+    ).mapInArrow(_binned(_ordinary(docs)), f"{_SCHEMA}, bins array<int>")
+    paired = F.arrays_zip("strings", "bins").alias("string")
     counts = (
-        scanned.select(F.explode("strings").alias("string"))
-        .groupBy(string["length_class"].alias("length_class"), _p_bin(string, rate).alias("bin"))
+        scanned.filter(F.size("strings") > 0)
+        .select(F.explode(paired).alias("string"))
+        .groupBy(
+            F.col("string.strings.length_class").alias("length_class"),
+            F.col("string.bins").alias("bin"),
+        )
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()
     )
@@ -320,12 +386,14 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     )
     random = F.transform(
         F.filter(
-            "strings",
-            lambda s: (s["p_random"] >= SIGNIFICANCE)
-            & (_p_bin(s, rate) >= F.get(limits, s["length_class"])),
+            F.arrays_zip("strings", "bins"),
+            lambda s: (s["strings"]["p_random"] >= SIGNIFICANCE)
+            & (s["bins"] >= F.get(limits, s["strings"]["length_class"])),
         ),
         lambda s: F.struct(
-            s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")
+            s["strings"]["start"].alias("start"),
+            F.lit(3).alias("kind"),
+            s["strings"]["end"].alias("end"),
         ),
     )
 

@@ -172,3 +172,118 @@ def hard_negatives(rows, is_anchor, positives=5, negatives=3):
                 for k, o in enumerate(hard[:negatives])
             ]
     return out
+
+
+ENCODINGS = ["0-9a-f", "0-9A-F", "a-z", "A-Z", "A-Z2-7", "0-9a-z", "A-Za-z", "A-Za-z0-9"]
+ENCODINGS += ["A-Za-z0-9+/", "A-Za-z0-9_-"]
+
+
+def _members(pattern):
+    return sorted(c for c in map(chr, range(128)) if re.match(f"[{pattern}]", c))
+
+
+def _alphabet(pattern, given):
+    """Characters in the order in which the encoding numbers them."""
+    members = _members(pattern)
+    ranks = {"A-Za-z": 0, "A-Za-z0-9": 0, "A-Za-z0-9+/": 0, "A-Za-z0-9_-": 0, "A-Z2-7": 0}
+    if pattern in ranks:
+        kinds = (str.isupper, str.islower, str.isdigit, lambda c: c in "+-", lambda c: c in "/_")
+        members.sort(key=lambda c: (next(k for k, f in enumerate(kinds) if f(c)), c))
+    return members
+
+
+def randomness(body):
+    """(size of the encoding, p) by the three tests, or None."""
+    for pattern in ENCODINGS:
+        members = _alphabet(pattern, body)
+        if set(body) <= set(members):
+            break
+    else:
+        return None
+    n, k = len(body), len(members)
+    value = [members.index(c) for c in body]
+    chi = sum((value.count(v) - n / k) ** 2 for v in range(k)) * k / n
+    uniform = math.erfc((chi - k + 1) / math.sqrt(2 * (k - 1) * (n - 1) / n) / math.sqrt(2)) / 2
+    changes = sum((a >= k / 2) != (b >= k / 2) for a, b in zip(value, value[1:]))
+    runs = math.erfc(abs(changes - (n - 1) / 2) / math.sqrt((n - 1) / 4) / math.sqrt(2))
+    mid = (k - 1) / 2
+    product = sum((a - mid) * (b - mid) for a, b in zip(value, value[1:]))
+    serial = math.erfc(abs(product / ((k * k - 1) / 12) / math.sqrt(n - 1)) / math.sqrt(2))
+    return k, min(1.0, 3 * min(uniform, runs, serial))
+
+
+def random_strings(texts, least=20, gate=0.001, false=0.01):
+    """[(start, end), ...] of the random strings of each text."""
+    pairs, first = Counter(), Counter()
+    for text in texts:
+        raw = b"\n" + (text or "").encode()
+        # Where a long stretch stands, a blank.
+        short = re.sub(rb"[A-Za-z0-9+/_=-]{%d,}" % least, lambda m: b" " * len(m[0]), raw)
+        for a, b, kept in zip(raw, raw[1:], short[1:]):
+            if kept not in b" \t\n\x0b\x0c\r":
+                pairs[a, b] += 1
+                first[b] += 1
+    after = Counter()
+    for (a, _), n in pairs.items():
+        after[a] += n
+    total = sum(first.values())
+    tested = []
+    for number, text in enumerate(texts):
+        base = [(a, b) for a, _, b in base_spans(text)]
+        for stretch in re.finditer(r"[A-Za-z0-9+/_=-]{%d,}" % least, text or ""):
+            last = stretch.start() + len(stretch[0].rstrip("="))
+            for part in re.finditer("[^=]+", text[stretch.start() : last]):
+                a = stretch.start() + part.start()
+                b = stretch.start() + part.end()
+                end = stretch.end() if b == last else b
+                if end - a < least or any(x < end and a < y for x, y in base):
+                    continue
+                tested += [(number, *one) for one in _tested(text, a, b, end, least, gate)]
+    found = [[] for _ in texts]
+    for low, high in ((0, 32), (32, 64), (64, 128), (128, 10**9)):
+        scored = []
+        for number, a, b, body, k, p in tested:
+            if low <= len(body) < high:
+                raw = body.encode()
+                log = math.log10((first[raw[0]] + 0.5) / (total + 128))
+                for x, y in zip(raw, raw[1:]):
+                    log += math.log10((pairs[x, y] + 0.5) / (after[x] + 128))
+                power = math.log10(p) - len(raw) * math.log10(k) - log if p else 0
+                scored.append((int(min(max(0, power * 10), 400)), p, number, a, b))
+        scored.sort(reverse=True)
+        least_bin = None
+        for one in {s[0] for s in scored}:
+            passed = sum(s[0] >= one for s in scored)
+            if 10 ** (-one / 10) <= false * passed / len(scored):
+                least_bin = one if least_bin is None else min(least_bin, one)
+        for one, p, number, a, b in scored:
+            if least_bin is not None and one >= least_bin and p >= gate:
+                found[number].append((a, b))
+    return [sorted(own) for own in found]
+
+
+def _tested(text, a, b, end, least, gate):
+    out = []
+
+    def passes(start, stop, body):
+        known = randomness(body) if len(body) >= least else None
+        if known is None or any(o[:3] == (start, stop, body) for o in out):
+            return False
+        out.append((start, stop, body, *known))
+        return known[1] >= gate
+
+    if passes(a, end, text[a:b]):
+        return out
+    passed = []
+    for separators in ("_-", "+/", "+/_-"):
+        for piece in re.finditer(f"[^{separators}]+", text[a:b]):
+            start, stop = a + piece.start(), a + piece.end()
+            if not any(x <= start and stop <= y for x, y in passed):
+                stop = end if stop == b else stop
+                if passes(start, stop, piece[0]):
+                    passed.append((start, stop))
+    joined = re.sub("[_-]", "", text[a:b])
+    hexadecimal = set(joined) <= set("0123456789abcdef") or set(joined) <= set("0123456789ABCDEF")
+    if not passed and hexadecimal and not joined.isdigit():
+        passes(a, end, joined)
+    return out
