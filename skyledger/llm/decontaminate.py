@@ -29,19 +29,55 @@ UNITS = (
 
 
 def marked_words(text: Column) -> Column:
-    """Lower-case words; those that fill a slot carry a mark of its type.
+    """Lower-case words; those that may fill a slot carry a mark of its type.
 
-    A capital inside a sentence begins a name (mark n), digits make a number (d), and
-    the words listed above numbers and units (u).
+    A capital inside a sentence begins a name (mark n), any other one a word that may be
+    a name (o), digits make a number (d), and the words listed above numbers and units.
     """
     name = r"(?<=[^\s.!?:;][ \t])(\p{Lu}[\p{L}'-]*)"
+    opening = r"(?<![\p{L}\p{N}'-])(\p{Lu}[\p{L}'-]*)"
     number = r"(?<![\p{L}\p{N}])(\p{N}+(?:[.,]\p{N}+)*)(?![\p{L}\p{N}])"
     text = F.regexp_replace(F.coalesce(text, F.lit("")), "§", " ")
-    text = F.lower(F.regexp_replace(text, name, "§n$1"))
-    text = F.regexp_replace(text, number, "§d$1")
+    text = F.regexp_replace(F.regexp_replace(text, name, "§n$1"), opening, "§o$1")
+    text = F.regexp_replace(F.lower(text), number, "§d$1")
     return F.array_remove(F.split(text, r"[^\p{L}\p{N}§]+"), "")
 
 
+def _bare(word: Column) -> Column:
+    return F.substring(word, 3, 1 << 20)
+
+
+def _starting(words: str, mark: str) -> Column:
+    return F.filter(words, lambda w: F.startswith(w, F.lit(mark)))
+
+
+def with_words(texts: DataFrame) -> DataFrame:
+    """``texts`` with ``words`` in place of ``text``: marked, openings told from names.
+
+    A capitalised word at a sentence's opening is a name if the text has it as a name
+    inside a sentence, or at several openings and nowhere in lower case.
+    """
+    others = [c for c in texts.columns if c != "text"]
+    raw = texts.select(*others, marked_words(F.col("text")).alias("raw"))
+    opening = raw.withColumn("opening", F.array_sort(_starting("raw", "§o")))
+    # In order, so that a word which repeats stands behind itself.
+    repeated = F.filter(
+        "opening", lambda w, k: (k > 0) & w.eqNullSafe(F.get("opening", k - 1))
+    )
+    names = F.array_union(
+        F.transform(_starting("raw", "§n"), _bare),
+        F.array_except(F.transform(repeated, _bare), "raw"),
+    )
+    named = opening.withColumn("names", names)
+    words = F.transform(
+        "raw",
+        lambda w: F.when(~F.startswith(w, F.lit("§o")), w)
+        .when(F.array_contains("names", _bare(w)), F.concat(F.lit("§n"), _bare(w)))
+        .otherwise(_bare(w)),
+    )
+    return named.select(*others, words.alias("words"))
+
+
 def canonical(word: Column) -> Column:
     """A marked word with its slot value left out."""
     return (
@@ -54,7 +90,7 @@ def canonical(word: Column) -> Column:
 
 def plain(word: Column) -> Column:
     """A marked word with its slot value left out, unless it is a name: case says nothing."""
-    return canonical(F.when(F.startswith(word, F.lit("§n")), F.substring(word, 3, 1 << 20)).otherwise(word))
+    return canonical(F.when(F.startswith(word, F.lit("§n")), _bare(word)).otherwise(word))
 
 
 def value(word: Column) -> Column:
@@ -94,8 +130,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Both texts become templates: numbers, names and units turn into typed placeholders.
     Windows of ``WINDOW_WORDS`` template words are joined by hash, and so are the same
     words with names in lower case, for texts in another case; a match of either votes for
-    its diagonal, and close diagonals are one span. Its slots must be consistent: where
-    the item repeats a value, the span repeats the value it put there. An item is held if
+    its diagonal, and close diagonals are one span. Its slots must be consistent, one to
+    one: where the item repeats a value, the span repeats the value it put there, and
+    where the item has different values, so has the span. An item is held if
     the consistent spans of a document together have ``LEAST_SHARE`` of its windows, so
     that words put in or sentences swapped lose no more than the windows they break.
     ``changed`` tells that the spans with the item's own values do not have that share
@@ -109,7 +146,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     slot = F.startswith(F.col("word"), F.lit("§"))
     items = (
-        benchmark.select("item_id", marked_words(F.col("text")).alias("words"))
+        with_words(benchmark.select("item_id", "text"))
         .filter(F.size("words") >= WINDOW_WORDS)
         .withColumn("canon", F.transform("words", canonical))
         .withColumn("bare", F.transform("words", plain))
@@ -140,7 +177,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     matches = (
-        keyed.select("key", "doc_id", marked_words(F.col("text")).alias("words"))
+        with_words(keyed)
         .select(
             "key",
             "doc_id",
@@ -206,13 +243,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     texts = keyed.join(slots.select("key").distinct(), "key", "left_semi").distinct()
     filled = (
-        slots.join(
-            texts.select("key", marked_words(F.col("text")).alias("words")).distinct(), "key"
-        )
+        slots.join(with_words(texts.select("key", "text")).distinct(), "key")
         .withColumn("given", value(F.get("words", F.col("diagonal") + F.col("at"))))
         .groupBy("key", "item_id", "span")
         .agg(
             F.count_distinct("asked").alias("n_asked"),
+            F.count_distinct("given").alias("n_given"),
             F.count_distinct("asked", "given").alias("n_pairs"),
             F.max((F.col("asked") != F.col("given")).cast("int")).alias("changed"),
         )
@@ -221,7 +257,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return (
         found.drop("places")
         .join(filled, ["key", "item_id", "span"], "left")
-        .filter(F.col("n_pairs").isNull() | (F.col("n_pairs") <= F.col("n_asked")))
+        .filter(
+            F.col("n_pairs").isNull()
+            | (F.col("n_pairs") <= F.least("n_asked", "n_given"))
+        )
         .withColumn("own_ats", F.when(own, F.col("ats")))
         .withColumn("own_strong_ats", F.when(own, F.col("strong_ats")))
         .groupBy(*pair, "of", "of_strong")
