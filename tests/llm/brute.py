@@ -287,3 +287,31 @@ def _tested(text, a, b, end, least, gate):
     if not passed and hexadecimal and not joined.isdigit():
         passes(a, end, joined)
     return out
+
+
+def license_labels(text, listed, phrases, neighbours=2):
+    """(labels, score) of a text; the first ``phrases`` of ``listed`` are base phrases."""
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    labels, score = set(), 0.0
+    for number, (label, own, gram, least) in enumerate(listed):
+        hits = {}
+        for at in range(len(own) - gram + 1):
+            for pos in range(len(w) - gram + 1):
+                if w[pos : pos + gram] == own[at : at + gram]:
+                    hits.setdefault(pos - at, []).append((at, pos))
+        spans, before = [], None
+        for diagonal in sorted(hits):
+            if before is None or diagonal - before > neighbours or number < phrases:
+                spans.append([])
+            spans[-1] += hits[diagonal]
+            before = diagonal
+        for span in spans:
+            share = len({at + j for at, _ in span for j in range(gram)}) / len(own)
+            places = [pos for _, pos in span]
+            length = max(places) - min(places) + gram
+            fits = number < phrases or length <= len(own) * 1.25 + neighbours
+            if share >= least and fits:
+                labels.add(label)
+                score = max(score, share)
+    return ",".join(sorted(labels)), score

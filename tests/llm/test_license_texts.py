@@ -1,0 +1,78 @@
+"""License labels and scores against a plain version, over whole and bent passages."""
+
+from __future__ import annotations
+
+import random
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import brute  # noqa: E402
+
+from skyledger.llm import licenses  # noqa: E402
+
+PLAIN = "the of and a software license free use to any in this is under terms version".split()
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(6)
+    out = [None, "", "cc by", "CC-BY, cc by; cc BY", "general public license" * 3]
+    for _, own, _, _ in licenses.listed():
+        whole = " ".join(own)
+        out += [whole.upper(), f"x {whole}, y", " ".join(own[: len(own) // 2])]
+        for _ in range(3):
+            bent = list(own)
+            for _ in range(rng.randint(1, max(1, len(own) // 12))):
+                k = rng.randrange(len(bent))
+                bent[k : k + rng.randint(0, 1)] = rng.choices(PLAIN, k=rng.randint(0, 2))
+            out.append(" ".join(rng.choices(PLAIN, k=9) + bent + rng.choices(PLAIN, k=9)))
+    out += [" ".join(rng.choices(PLAIN, k=300)) for _ in range(5)]
+    return out
+
+
+def scanned(spark, texts):
+    df = spark.createDataFrame(
+        [(k, t, 1, "w") for k, t in enumerate(texts)], "doc_id long, text string, template int, words string"
+    )
+    return {r["doc_id"]: r for r in licenses.scan(df).collect()}
+
+
+def test_labels_and_scores_agree_with_a_plain_version(spark, texts):
+    found = scanned(spark, texts)
+    listed = licenses.listed()
+    for k, text in enumerate(texts):
+        labels, score = brute.license_labels(text, listed, len(licenses.PHRASES))
+        assert (found[k]["labels"], found[k]["score"]) == (labels, pytest.approx(score)), text
+
+
+def test_variants_are_told_apart(spark):
+    body = next(text for label, text in licenses.TEMPLATES if text.startswith("THE SOFTWARE IS PROVIDED"))
+    texts = {
+        "GNU Lesser General Public License": "gpl,lgpl",
+        "under the GNU General Public License": "gpl",
+        "Creative Commons Attribution ShareAlike 4.0": "cc-by-sa",
+        "by the Free Software Foundation, either version 3 of the License": "gnu-v3",
+        body: "mit",
+        "free of the charge of any kind in the terms of use": "",
+    }
+    found = scanned(spark, list(texts))
+    assert [found[k]["labels"] for k in range(len(texts))] == list(texts.values())
+
+
+def test_a_template_longer_than_a_machine_word(spark):
+    own = max((words for _, words, _, _ in licenses.listed()), key=len)
+    assert len(own) > 100
+    # Its last third alone is no whole template, and two thirds with a hole are not either.
+    cut = [own[-len(own) // 3 :], own[: len(own) // 3] + own[-len(own) // 3 :]]
+    found = scanned(spark, [" ".join(c) for c in cut] + [" ".join(own)])
+    assert [found[k]["score"] for k in range(3)] == [0.0, 0.0, 1.0]
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(PLAIN * 4_000) + " Released under the MIT License " + " ".join(PLAIN * 1_000)
+    found = scanned(spark, [text])[0]
+    assert (found["n_words"], found["labels"]) == (16 * 5_000 + 5, "mit")
