@@ -213,7 +213,7 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 # Bytes of texts encoded together; bounds memory, not the result.
-BYTES_AT_ONCE = 12_000_000
+BYTES_AT_ONCE = 16_000_000
 
 
 def _segments(path: str):
