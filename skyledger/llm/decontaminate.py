@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.llm.common import stored
+
 WINDOW_WORDS = 5
 LEAST_SHARE = 0.8
 
@@ -47,35 +49,44 @@ def _bare(word: Column) -> Column:
     return F.substring(word, 3, 1 << 20)
 
 
-def _starting(words: str, mark: str) -> Column:
+def _starting(words: Column, mark: str) -> Column:
     return F.filter(words, lambda w: F.startswith(w, F.lit(mark)))
 
 
-def with_words(texts: DataFrame) -> DataFrame:
-    """``texts`` with ``words`` in place of ``text``: marked, openings told from names.
+def _let(value: Column, then) -> Column:
+    """``then`` of ``value``, which is made once however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
-    A capitalised word at a sentence's opening is a name if the text has it as a name
-    inside a sentence, or at several openings and nowhere in lower case.
-    """
-    others = [c for c in texts.columns if c != "text"]
-    raw = texts.select(*others, marked_words(F.col("text")).alias("raw"))
-    opening = raw.withColumn("opening", F.array_sort(_starting("raw", "§o")))
-    # In order, so that a word which repeats stands behind itself.
-    repeated = F.filter(
-        "opening", lambda w, k: (k > 0) & w.eqNullSafe(F.get("opening", k - 1))
-    )
-    names = F.array_union(
-        F.transform(_starting("raw", "§n"), _bare),
-        F.array_except(F.transform(repeated, _bare), "raw"),
-    )
-    named = opening.withColumn("names", names)
-    words = F.transform(
-        "raw",
-        lambda w: F.when(~F.startswith(w, F.lit("§o")), w)
-        .when(F.array_contains("names", _bare(w)), F.concat(F.lit("§n"), _bare(w)))
-        .otherwise(_bare(w)),
+
+def _names(words: Column) -> Column:
+    """What a capitalised word may open a sentence with and is a name: one that the text
+    has as a name inside a sentence, or at several openings and nowhere in lower case."""
+    inner = F.transform(_starting(words, "§n"), _bare)
+
+    def repeated(opening: Column) -> Column:
+        # In order, so that a word which repeats stands behind itself.
+        again = F.filter(
+            opening, lambda w, k: (k > 0) & w.eqNullSafe(F.get(opening, k - 1))
+        )
+        return F.array_except(F.transform(again, _bare), words)
+
+    return F.array_union(inner, _let(F.array_sort(_starting(words, "§o")), repeated))
+
+
+def words_of(text: Column) -> Column:
+    """The marked words of a text, words at openings told from names."""
+
+    def told(words: Column, names: Column) -> Column:
+        def word(w: Column) -> Column:
+            name = F.concat(F.lit("§n"), _bare(w))
+            own = F.when(F.array_contains(names, _bare(w)), name).otherwise(_bare(w))
+            return F.when(F.startswith(w, F.lit("§o")), own).otherwise(w)
+
+        return F.transform(words, word)
+
+    return _let(
+        marked_words(text), lambda words: _let(_names(words), lambda names: told(words, names))
     )
-    return named.select(*others, words.alias("words"))
 
 
 def canonical(word: Column) -> Column:
@@ -102,24 +113,32 @@ def windows(words: str, canon: str, bare: str) -> Column:
     """(pos, window, named): hashes of the template windows and, where one has a name, of
     the same words with the name kept in lower case; none for fewer words than one."""
 
-    def hashed(source: str, named: bool):
-        return lambda k: F.struct(
-            (k - 1).alias("pos"),
-            F.xxhash64(F.slice(source, k, WINDOW_WORDS)).alias("window"),
-            F.lit(named).alias("named"),
+    def hashed(places: Column, source: str, named: bool) -> Column:
+        # Words are hashed once, windows from the hashes of their words.
+        return _let(
+            F.transform(source, lambda w: F.xxhash64(w)),
+            lambda own: F.transform(
+                places,
+                lambda k: F.struct(
+                    k.alias("pos"),
+                    F.xxhash64(*(F.get(own, k + j) for j in range(WINDOW_WORDS))).alias("window"),
+                    F.lit(named).alias("named"),
+                ),
+            ),
         )
 
-    places = F.sequence(F.lit(1), F.size(words) - (WINDOW_WORDS - 1))
+    places = F.sequence(F.lit(0), F.size(words) - WINDOW_WORDS)
     with_name = F.filter(
-        places, lambda k: F.array_contains(F.slice(canon, k, WINDOW_WORDS), "§n")
+        places, lambda k: F.array_contains(F.slice(canon, k + 1, WINDOW_WORDS), "§n")
     )
+    none = F.array().cast("array<struct<pos:int,window:bigint,named:boolean>>")
     return F.when(
         F.size(words) >= WINDOW_WORDS,
         F.concat(
-            F.transform(places, hashed(canon, False)),
+            hashed(places, canon, False),
             F.when(
-                F.array_contains(canon, "§n"), F.transform(with_name, hashed(bare, True))
-            ).otherwise(F.array().cast("array<struct<pos:int,window:bigint,named:boolean>>")),
+                F.array_contains(canon, "§n"), hashed(with_name, bare, True)
+            ).otherwise(none),
         ),
     )
 
@@ -146,7 +165,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     slot = F.startswith(F.col("word"), F.lit("§"))
     items = (
-        with_words(benchmark.select("item_id", "text"))
+        benchmark.select("item_id", words_of(F.col("text")).alias("words"))
         .filter(F.size("words") >= WINDOW_WORDS)
         .withColumn("canon", F.transform("words", canonical))
         .withColumn("bare", F.transform("words", plain))
@@ -177,7 +196,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     matches = (
-        with_words(keyed)
+        keyed.select("key", "doc_id", words_of(F.col("text")).alias("words"))
         .select(
             "key",
             "doc_id",
@@ -216,8 +235,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.collect_list(F.struct("diagonal", "ats")).alias("places"),
         )
     )
-    # A pair whose spans do not reach the share together needs no look at its slots.
-    found = (
+    # A pair whose spans do not reach the share together needs no look at its slots. Written,
+    # as it is read twice and few rows are left.
+    found = stored(
         spans.groupBy(*pair)
         .agg(
             different("ats").alias("n"),
@@ -226,7 +246,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
         .join(sizes, "item_id")
         .filter(similarity >= LEAST_SHARE)
-        .select(*pair, "of", "of_strong", F.inline("spans"))
+        .select(*pair, "of", "of_strong", F.inline("spans")),
+        "leaks-found",
     )
     place = F.explode("places").alias("place")
     slots = (
@@ -243,7 +264,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     texts = keyed.join(slots.select("key").distinct(), "key", "left_semi").distinct()
     filled = (
-        slots.join(with_words(texts.select("key", "text")).distinct(), "key")
+        slots.join(
+            texts.select("key", words_of(F.col("text")).alias("words")).distinct(), "key"
+        )
         .withColumn("given", value(F.get("words", F.col("diagonal") + F.col("at"))))
         .groupBy("key", "item_id", "span")
         .agg(
@@ -280,7 +303,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, in the columns of ``docs``."""
+    """The documents that hold no benchmark item, in the columns of ``docs``.
+
+    Null, blank and short texts stay, rows that repeat go or stay together, and without
+    items or documents the table is as it was.
+    """
     found = leaks(docs, benchmark).select(F.col("key").alias("leak")).distinct()
     key = F.xxhash64(docs["doc_id"], docs["text"])
     return docs.join(found, key == found["leak"], "left_anti")

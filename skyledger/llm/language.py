@@ -503,7 +503,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents whose language is recognised, in the columns of ``docs``."""
+    """The documents whose language is recognised, in the columns of ``docs``.
+
+    Null and blank texts and those without a letter go, rows that repeat go or stay
+    together, and an empty table stays empty; what else goes is told by ``identify``.
+    """
     rejected = identify(docs).filter("rejected").select(F.col("key").alias("no")).distinct()
     key = F.xxhash64(docs["doc_id"], docs["text"])
     return docs.join(rejected, key == rejected["no"], "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import decontaminate
 
@@ -54,7 +55,8 @@ def test_an_opening_word_is_a_name_only_where_the_text_says_so(spark):
         ],
         "text string",
     )
-    words = [r["words"] for r in decontaminate.with_words(df).collect()]
+    marked_words = df.select(decontaminate.words_of(F.col("text")).alias("words"))
+    words = [r["words"] for r in marked_words.collect()]
     marked = [[w for w in one if w.startswith("§")] for one in words]
     assert marked[:2] == [["§nbert", "§nbert"], ["§ncarl", "§ncarl"]]
     assert words[2] == words[3] == []
