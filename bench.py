@@ -138,6 +138,18 @@ def main() -> None:
         by_year = layouts.read_flights_by_year(
             spark, by_year_path, fmt=fmt, schema=flat_schema
         )
+        if fmt == "parquet":
+            # The published layout's own directories; here a thousand carriers a year.
+            by_carrier_path = scratch_path(spark, "by-year-carrier")
+            queries["write_by_year_carrier_parquet"] = timed(
+                lambda: layouts.write_flights_by_year(flights, by_carrier_path)
+            )
+            by_carrier = layouts.read_flights_by_year(
+                spark, by_carrier_path, schema=flat_schema
+            )
+            queries["t2_by_year_carrier_parquet"] = seconds(
+                lambda: delay_stats(by_carrier.filter(year_is), airlines)
+            )
         rollup_path = scratch_path(spark, f"rollup-{fmt}")
         queries[f"write_rollup_{fmt}"] = timed(
             lambda: layouts.write_country_rollup(

@@ -520,6 +520,13 @@ def src_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_aircrafts(spark, path)
 
 
+def src_uri_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths are passed through as they are, with blanks and other letters in them too."""
+    path = f"{scratch_path(spark, 'by uri')}/flottenübersicht 1+1 %41/aircraft, all.csv"
+    tables.write_csv(derived.aircraft_file_rows(spark, sf_dir), path)
+    return tables.read_aircrafts(spark, path).select("tailnum", "manufacturer", "model")
+
+
 def src_csv_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "airlines-csv")
     tables.write_csv(derived.airlines(spark, sf_dir), path, header=False)
@@ -645,6 +652,7 @@ QUERIES: dict[str, Query] = {
         profile_midnight_24,
         profile_lost_to_typing,
         src_csv_roundtrip,
+        src_uri_path,
         src_csv_headerless,
         src_csv_ragged,
         src_csv_quarantine,

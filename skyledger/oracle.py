@@ -403,6 +403,7 @@ BODIES: dict[str, str] = {
     FROM aircrafts
     """,
     "src_csv_headerless": "SELECT carrier_code, name, country FROM airlines",
+    "src_uri_path": "SELECT tailnum, manufacturer, model FROM aircrafts",
     "src_csv_ragged": "SELECT tailnum, manufacturer, model FROM aircrafts",
     "src_csv_quarantine": """
     SELECT CASE WHEN flight_id % 43 = 0 THEN 'fields missing'

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import flown, model_code
 from skyledger.operators.bloom import possibly_in
-from skyledger.operators.joins import fits_broadcast
+from skyledger.operators.joins import broadcast_limit, size_in_memory
 from skyledger.operators.profiling import rows_per
 
 # Fixed value: the manufacturer the model ranking is about, as the aircraft table has it.
@@ -35,7 +35,8 @@ def model_counts(
     legs = legs.select("tail_number")
     same_tail = F.col("tail_number") == F.col("tailnum")
 
-    if fits_broadcast(planes):
+    codes = _codes_if_small(planes)
+    if codes is not None:
         flown_codes = rows_per(
             legs.join(F.broadcast(planes), same_tail).select(
                 F.col("modelName").alias("code")
@@ -44,16 +45,9 @@ def model_counts(
             alias="numFlights",
         )
         # Three digits make at most a thousand codes, so these counts are always small.
-        counts = (
-            planes.select("modelName")
-            .distinct()
-            .join(
-                F.broadcast(flown_codes),
-                F.col("modelName").eqNullSafe(F.col("code")),
-                "left",
-            )
-            .select("modelName", "numFlights")
-        )
+        counts = codes.join(
+            F.broadcast(flown_codes), F.col("modelName").eqNullSafe(F.col("code")), "left"
+        ).select("modelName", "numFlights")
     else:
         # Of other manufacturers' flights hardly any is counted and shuffled.
         legs = possibly_in(legs, "tail_number", planes, "tailnum")
@@ -68,6 +62,27 @@ def model_counts(
     return counts.orderBy(F.col("numFlights").desc_nulls_last(), "modelName")
 
 
+def _codes_if_small(planes: DataFrame) -> DataFrame | None:
+    """The different codes of ``planes`` if these fit a broadcast, none otherwise.
+
+    Both are told by one pass over the aircraft; of codes there are a thousand at most,
+    a blank one and a null.
+    """
+    spark = planes.sparkSession
+    limit = broadcast_limit(spark)
+    if limit <= 0:
+        return None
+    found = planes.agg(
+        size_in_memory(planes),
+        F.collect_set("modelName").alias("codes"),
+        F.coalesce(F.bool_or(F.col("modelName").isNull()), F.lit(False)).alias("unknown"),
+    ).first()
+    if found["bytes"] > limit:
+        return None
+    codes = [(code,) for code in found["codes"] + [None] * found["unknown"]]
+    return spark.createDataFrame(codes, "modelName string")
+
+
 def top_models(
     flights: DataFrame,
     aircrafts: DataFrame,
