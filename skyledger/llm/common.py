@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +37,12 @@ def stored(df: DataFrame, name: str, **options: object) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is made once however often ``then`` names it: the
+    optimiser puts a column's expression wherever the column stands, in lambdas too."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def file_order(df: DataFrame) -> list[Column]:
     """Columns that sort ``df``, read from files that a job wrote, in the order of the
     writing tasks and of their rows; none if it is no such read."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import stored
+from skyledger.llm.common import let, stored
 
 WINDOW_WORDS = 5
 LEAST_SHARE = 0.8
@@ -53,11 +53,6 @@ def _starting(words: Column, mark: str) -> Column:
     return F.filter(words, lambda w: F.startswith(w, F.lit(mark)))
 
 
-def _let(value: Column, then) -> Column:
-    """``then`` of ``value``, which is made once however often ``then`` names it."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _names(words: Column) -> Column:
     """What a capitalised word may open a sentence with and is a name: one that the text
     has as a name inside a sentence, or at several openings and nowhere in lower case."""
@@ -70,7 +65,7 @@ def _names(words: Column) -> Column:
         )
         return F.array_except(F.transform(again, _bare), words)
 
-    return F.array_union(inner, _let(F.array_sort(_starting(words, "§o")), repeated))
+    return F.array_union(inner, let(F.array_sort(_starting(words, "§o")), repeated))
 
 
 def words_of(text: Column) -> Column:
@@ -84,8 +79,8 @@ def words_of(text: Column) -> Column:
 
         return F.transform(words, word)
 
-    return _let(
-        marked_words(text), lambda words: _let(_names(words), lambda names: told(words, names))
+    return let(
+        marked_words(text), lambda words: let(_names(words), lambda names: told(words, names))
     )
 
 
@@ -115,7 +110,7 @@ def windows(words: str, canon: str, bare: str) -> Column:
 
     def hashed(places: Column, source: str, named: bool) -> Column:
         # Words are hashed once, windows from the hashes of their words.
-        return _let(
+        return let(
             F.transform(source, lambda w: F.xxhash64(w)),
             lambda own: F.transform(
                 places,

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyledger.llm.common import let
+
 # Phrases of the base scan and their labels.
 PHRASES = {
     "cc by": "cc-by",
@@ -174,28 +176,31 @@ def listed() -> list[tuple[str, list[str], int, float]]:
     return phrases + templates + [(label, split(text), GRAM, 1.0) for label, text in VARIANTS]
 
 
-def _grams(words: str, size: int) -> Column:
-    """(pos, gram): the hash of every ``size`` neighbouring words."""
-    places = F.sequence(F.lit(0), F.size(words) - size)
+def _grams(hashes: Column, size: int) -> Column:
+    """(pos, gram) of every ``size`` neighbouring words, from the words' hashes."""
     return F.when(
-        F.size(words) >= size,
+        F.size(hashes) >= size,
         F.transform(
-            places,
+            F.sequence(F.lit(0), F.size(hashes) - size),
             lambda k: F.struct(
                 k.alias("pos"),
-                F.xxhash64(*(F.get(words, k + j) for j in range(size))).alias("gram"),
+                F.xxhash64(*(F.get(hashes, k + j) for j in range(size))).alias("gram"),
             ),
         ),
     ).otherwise(F.array().cast("array<struct<pos:int,gram:bigint>>"))
 
 
+def _hashes(words: str) -> Column:
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
 def template_grams(spark: SparkSession) -> DataFrame:
     """(gram, template, at), and for template -1 the mark that stands for a document."""
     rows = [(k, words, size) for k, (_, words, size, _) in enumerate(listed())]
     texts = spark.createDataFrame(rows, "template int, words array<string>, size int")
     parts = [
         texts.filter(F.col("size") == size)
-        .select("template", F.explode(_grams("words", size)).alias("g"))
+        .select("template", F.explode(let(_hashes("words"), lambda h: _grams(h, size))).alias("g"))
         .select("g.gram", "template", F.col("g.pos").alias("at"))
         for size in (PHRASE_GRAM, GRAM)
     ]
@@ -231,8 +236,19 @@ def scan(docs: DataFrame) -> DataFrame:
         F.xxhash64("doc_id", "text").alias("key"),
         words_of(F.col("text")).alias("words"),
     )
+    listed_grams = template_grams(spark)
+    # Pairs of words are few and common: those of no phrase are left out before all others.
+    phrases = listed_grams.filter(F.col("template").between(0, len(PHRASES) - 1))
+    pairs = [found["gram"] for found in phrases.select("gram").distinct().collect()]
     mark = F.struct(F.lit(0).alias("pos"), F.xxhash64(F.lit("document")).alias("gram"))
-    grams = F.concat(_grams("words", PHRASE_GRAM), _grams("words", GRAM), F.array(mark))
+    grams = let(
+        _hashes("words"),
+        lambda h: F.concat(
+            F.filter(_grams(h, PHRASE_GRAM), lambda g: g["gram"].isin(pairs)),
+            _grams(h, GRAM),
+            F.array(mark),
+        ),
+    )
     votes = (
         words.select(
             "doc_id",
@@ -241,7 +257,7 @@ def scan(docs: DataFrame) -> DataFrame:
             F.explode(grams).alias("g"),
         )
         .select(*row, "g.pos", "g.gram")
-        .join(F.broadcast(template_grams(spark)), "gram")
+        .join(F.broadcast(listed_grams), "gram")
         .withColumn(
             "diagonal", F.when(F.col("template") < 0, 0).otherwise(F.col("pos") - F.col("at"))
         )
