@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,15 @@ YEAR_ONLY = ("year",)
 # size is read by several tasks.
 ROWS_PER_FILE = 1_000_000
 
+# Directories a table may have before carriers share them: a directory costs a file, a
+# rename and a place in the driver's listing, whatever it holds. Those of shared ones hold
+# about so many rows, as the published files do.
+MOST_DIRECTORIES = 10_000
+ROWS_PER_DIRECTORY = 100_000
+
+# The directories that carriers share, by a hash of the code.
+CARRIERS = "carrier_group"
+
 
 def write_partitioned(
     df: DataFrame,
@@ -72,6 +82,20 @@ def with_year(flights: DataFrame) -> DataFrame:
     return flights.withColumn("year", F.year("flight_date"))
 
 
+def _carrier_groups(rows: DataFrame, most_directories: int) -> int:
+    """Groups of carriers a year is divided into; 0 if each carrier may have its own."""
+    keys = rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.approx_count_distinct(F.struct("year")).alias("years"),
+        F.approx_count_distinct(F.struct("year", "carrier_code")).alias("directories"),
+    ).first()
+    if keys["directories"] <= most_directories:
+        return 0
+    years = max(1, keys["years"])
+    wanted = ceil(keys["rows"] / ROWS_PER_DIRECTORY / years)
+    return max(1, min(wanted, most_directories // years))
+
+
 def write_flights_by_year(
     flights: DataFrame,
     path: str,
@@ -79,11 +103,24 @@ def write_flights_by_year(
     keys: Sequence[str] = YEAR_CARRIER,
     fmt: str = "parquet",
     max_records_per_file: int | None = ROWS_PER_FILE,
+    most_directories: int | None = MOST_DIRECTORIES,
 ) -> None:
-    """Flights in directories by ``keys``, sorted by carrier where that is no directory."""
+    """Flights in directories by ``keys``, sorted by carrier where that is no directory.
+
+    Where years and carriers would make more than ``most_directories`` (about, as they are
+    estimated; None: however many), the carriers of a year share directories by a hash of
+    their code, and the files hold the code.
+    """
+    rows = with_year(flights)
+    if "carrier_code" in keys and most_directories is not None:
+        groups = _carrier_groups(rows, most_directories)
+        if groups:
+            group = F.pmod(F.xxhash64("carrier_code"), F.lit(groups)).cast("int")
+            rows = rows.withColumn(CARRIERS, group)
+            keys = [CARRIERS if key == "carrier_code" else key for key in keys]
     sort_within = [] if "carrier_code" in keys else ["carrier_code"]
     write_partitioned(
-        with_year(flights),
+        rows,
         path,
         keys,
         fmt=fmt,
@@ -99,8 +136,9 @@ def read_flights_by_year(
     fmt: str = "parquet",
     schema: T.StructType = schemas.FLIGHTS,
 ) -> DataFrame:
+    """The flights of ``write_flights_by_year``, in whichever directories carriers are."""
     with_partition = T.StructType([*schema, T.StructField("year", T.IntegerType())])
-    return read_partitioned(spark, path, with_partition, fmt=fmt)
+    return read_partitioned(spark, path, with_partition, fmt=fmt).drop(CARRIERS)
 
 
 # Tables by country

@@ -62,6 +62,26 @@ def test_two_levels_of_directories(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_many_carriers_share_directories(spark, tmp_path, fmt):
+    path = str(tmp_path / "out")
+    many = spark.range(300).selectExpr(
+        "id AS flight_id",
+        "IF(id % 50 = 0, NULL, lpad(string(id % 150), 4, '0')) AS carrier_code",
+        "IF(id % 7 = 0, NULL, make_date(1990 + int(id % 3), 5, 1)) AS flight_date",
+    )
+    layouts.write_flights_by_year(many, path, fmt=fmt, most_directories=40)
+    assert len(directories(path)) <= 40
+    stored = layouts.read_flights_by_year(spark, path, fmt=fmt, schema=FLIGHTS)
+    expected = layouts.with_year(many)
+    assert sorted(stored.columns) == sorted(expected.columns)
+    stored = stored.select(expected.columns)
+    assert stored.exceptAll(expected).isEmpty() and expected.exceptAll(stored).isEmpty()
+    in_1991 = stored.filter(F.col("year") == 1991)
+    files = in_1991.select("_metadata.file_path").distinct().collect()
+    assert files and all("year=1991" in row.file_path for row in files)
+
+
 def test_year_filter_chooses_directories(spark, tmp_path):
     path = str(tmp_path / "out")
     layouts.write_flights_by_year(flights(spark), path)
