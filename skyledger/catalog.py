@@ -112,12 +112,7 @@ def t2_delay_stats_from_csv_layout(spark: SparkSession, sf_dir: str) -> DataFram
     ]
     path = scratch_path(spark, "flights-by-year-csv")
     layouts.write_flights_by_year(flights.select(*columns), path, fmt="csv")
-    # Partition columns are no part of the files.
-    kept = [f for f in schemas.FLIGHTS if f.name != "carrier_code"]
-    carrier = schemas.FLIGHTS["carrier_code"]
-    stored = layouts.read_flights_by_year(
-        spark, path, fmt="csv", schema=T.StructType([*kept, carrier])
-    )
+    stored = layouts.read_flights_by_year(spark, path, fmt="csv")
     return delay_stats(
         stored.filter(F.col("year") == YEAR), derived.airlines(spark, sf_dir)
     )
