@@ -31,6 +31,9 @@ HEADER = struct.Struct("<4sIQI")
 WORDS_IN_TEXT = 2_000
 TEXTS_AT_ONCE = 500
 
+# Words whose ids an encoder keeps from call to call; bounds memory, not the result.
+KNOWN_WORDS = 600_000
+
 
 def vocabulary() -> str:
     import public_tokenizers
@@ -131,9 +134,10 @@ class Encoder:
 
     A space or line feed between two characters that are no white space begins a piece
     for the tokenizer, so a text's ids are those of its words, each with what stands
-    before it, one after the other. Distinct words are encoded once per call, many in
-    one text: there every word's first id is one that begins with its space or line
-    feed, and no other does. Texts with other white space are encoded as they are.
+    before it, one after the other. Distinct words are encoded once per call, or less often
+    as their ids are kept, many in one text: there every word's first id is one that begins
+    with its space or line feed, and no other does. Texts with other white space are encoded
+    as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -145,29 +149,49 @@ class Encoder:
         self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
         # The byte-level alphabet writes a space and a line feed so.
         self._begins[[k for t, k in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
+        self._nothing = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self._known = self._nothing
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [one.ids for one in found]
 
-    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, one after the other, and where each word's begin."""
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each word has."""
         if not len(words):
-            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         parts = []
         # The tokenizer's own results are large, so only a text's are held at a time.
-        for k in range(0, len(words), WORDS_IN_TEXT):
-            some = words.slice(k, WORDS_IN_TEXT).cast(pa.binary()).to_pylist()
-            parts += [np.array(x, "<u4") for x in self._ids([b"".join(some).decode()])]
+        cuts = np.append(np.arange(0, len(words), WORDS_IN_TEXT), len(words))
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words)
+        for text in pc.binary_join(lists, ""):
+            parts += [np.array(x, "<u4") for x in self._ids([text.as_py()])]
         ids = np.concatenate(parts)
         begin = np.flatnonzero(self._begins[ids])
         if len(begin) != len(words):
             raise ValueError("the tokenizer does not begin a piece at every word")
-        return ids, np.append(begin, len(ids))
+        return ids, np.diff(np.append(begin, len(ids)))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids among which those of each word stand, where they start and how many."""
+        known, known_ids, known_size = self._known
+        place = pc.index_in(words, value_set=known)
+        fresh = place.is_null().to_numpy(zero_copy_only=False)
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        place[fresh] = len(known) + np.arange(fresh.sum())
+        new = words.filter(pa.array(fresh))
+        new_ids, new_size = self._encoded(new)
+        ids, size = np.append(known_ids, new_ids), np.append(known_size, new_size)
+        if len(size) <= KNOWN_WORDS:
+            self._known = pa.concat_arrays([known, new]), ids, size
+        elif len(new) > len(words) // 2:
+            self._known = self._nothing
+        start = np.cumsum(size) - size
+        return ids, start[place], size[place]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null counts as empty."""
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts, "").cast(pa.string())
         # A line feed begins a piece as a space does; it stays with its word.
         parted = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         count = pc.list_value_length(parted).to_numpy()
@@ -183,12 +207,12 @@ class Encoder:
         odd_texts = np.add.reduceat(odd[code].astype(np.int64), first) > 0
         space = pc.if_else(feed, "", " ")
         spaced = pc.binary_join_element_wise(space, words, "").filter(pa.array(~odd))
-        ids, begin = self._words(spaced)
+        ids, spaced_start, spaced_size = self._words(spaced)
         # A text's first word has no space before it.
         heads, head = np.unique(code[first], return_inverse=True)
         own = [np.array(x, "<u4") for x in self._ids(words.take(pa.array(heads)).to_pylist())]
         size, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        size[~odd], start[~odd] = np.diff(begin), begin[:-1]
+        size[~odd], start[~odd] = spaced_size, spaced_start
         size = np.append(size, [len(x) for x in own]).astype(np.int64)
         start = np.append(start, len(ids) + np.cumsum([0, *map(len, own)])[:-1])
         flat = np.concatenate([ids, *own])
