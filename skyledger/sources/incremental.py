@@ -83,6 +83,22 @@ def _without_blank(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumns({name: F.nullif(F.col(name), F.lit("")) for name in texts})
 
 
+def _publish(spark: SparkSession, staged: str, root: str, keys: Sequence[str]) -> None:
+    """Moves the staged directories into the table, in place of those of the same keys.
+
+    One that is no longer staged was moved before, so a lost publishing can be repeated.
+    The driver holds one level's names at a time, as Spark's overwrite does all.
+    """
+    for name in files.names(spark, staged):
+        if not name.startswith(f"{keys[0]}="):
+            continue
+        if len(keys) > 1:
+            _publish(spark, f"{staged}/{name}", f"{root}/{name}", keys[1:])
+        else:
+            files.remove(spark, f"{root}/{name}")
+            files.move(spark, f"{staged}/{name}", f"{root}/{name}")
+
+
 def finish(spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str]) -> bool:
     """Publishes a load that is staged whole; removes one that is not. Tells which."""
     staged = f"{root}/{STAGING}"
@@ -93,13 +109,7 @@ def finish(spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[
     emptied = spark.read.schema(_keys(schema, keys)).parquet(f"{staged}/emptied")
     for row in emptied.toLocalIterator():
         files.remove(spark, _directory(spark, root, keys, row))
-    layouts.write_partitioned(
-        layouts.read_partitioned(spark, f"{staged}/rows", schema),
-        root,
-        keys,
-        max_records_per_file=ROWS_PER_FILE,
-        replace=True,
-    )
+    _publish(spark, f"{staged}/rows", root, keys)
     version = max(_versions(spark, root), default=0) + 1
     files.move(spark, f"{staged}/manifest", f"{root}/{MANIFEST}/{version}")
     files.remove(spark, staged)

@@ -150,6 +150,44 @@ def test_a_load_lost_while_publishing_is_finished_by_the_next(
     assert incremental._versions(spark, root) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("keys", [layouts.YEAR_CARRIER, layouts.YEAR_ONLY])
+def test_publishing_moves_the_staged_files(spark, tmp_path, monkeypatch, keys):
+    root = str(tmp_path / "table")
+    load(flights(spark, A, B), root, keys=keys)
+    written = []
+    write = layouts.write_partitioned
+
+    def noted(df, path, *args, **settings):
+        written.append(path)
+        write(df, path, *args, **settings)
+
+    monkeypatch.setattr(layouts, "write_partitioned", noted)
+    changed = (1, "AA", "1995-05-01", "N9")
+    load(flights(spark, changed, C), root, keys=keys)
+    assert held(spark, root) == expected(changed, B, C)
+    assert written == [f"{root}/{incremental.STAGING}/rows"]
+
+
+def test_a_load_lost_between_two_directories_is_finished(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "table")
+    load(flights(spark, A, B, C), root)
+    moves = []
+    move = files.move
+
+    def second_lost(spark, path, to):
+        moves.append(path)
+        if len(moves) == 2:
+            raise OSError("lost")
+        move(spark, path, to)
+
+    changed = [(*r[:3], "N9") for r in (A, B, C)]
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="lost"):
+        patch.setattr(files, "move", second_lost)
+        load(flights(spark, *changed), root)
+    assert not load(flights(spark, *changed), root)
+    assert held(spark, root) == expected(*changed)
+
+
 def test_a_load_lost_while_staging_is_forgotten(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "table")
     load(flights(spark, A), root)
