@@ -7,7 +7,8 @@ is finished by the next one, or forgotten if its staging was not complete.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,26 @@ MANIFEST, STAGING = "_manifest", "_staging"
 
 DAY = "flight_date"
 
+# Shuffle partitions before adaptive execution merges small ones, and Spark's name for
+# them: an aggregate's partition cannot be split, so its memory would grow with the data.
+PARTITIONS = 200
+PARTITIONS_CONF = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def _many_partitions(spark: SparkSession) -> Iterator[None]:
+    """At least ``PARTITIONS`` for the shuffles of the jobs in it, merged where small."""
+    before = spark.conf.get(PARTITIONS_CONF, None)
+    session = before or spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(PARTITIONS_CONF, str(max(PARTITIONS, int(session))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PARTITIONS_CONF)
+        else:
+            spark.conf.set(PARTITIONS_CONF, before)
+
 
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(
@@ -171,6 +192,13 @@ def load_days(
     Flights without a date are a day of their own. The same delivery may be loaded in any
     number of parts, as long as no day is divided, with the same rows in the end.
     """
+    with _many_partitions(flights.sparkSession):
+        return _load_days(flights, root, keys, schema)
+
+
+def _load_days(
+    flights: DataFrame, root: str, keys: Sequence[str], schema: T.StructType
+) -> bool:
     spark = flights.sparkSession
     stored_as = T.StructType([*schema, T.StructField("year", T.IntegerType())])
     finish(spark, root, stored_as, keys)
@@ -224,13 +252,21 @@ def apply_delta(delta: DataFrame, root: str, name: str) -> bool:
     directory with its last row; a count below zero is an error and nothing is changed.
     Returns whether the delta was applied. The first delta makes the table.
     """
+    with _many_partitions(delta.sparkSession):
+        return _apply_delta(delta, root, name)
+
+
+def _apply_delta(delta: DataFrame, root: str, name: str) -> bool:
     spark = delta.sparkSession
     schema = schemas.COUNTRY_ROLLUP
     finish(spark, root, schema, ROLLUP_KEYS)
     applied = read_manifest(spark, root, DELTAS)
     if not applied.filter(F.col("delta") == name).isEmpty():
         return False
-    delta = _without_blank(delta.select(*schema.names), ROLLUP_KEYS)
+    # Written, because it is asked for several times.
+    delta_path = f"{root}/{STAGING}/delta"
+    _without_blank(delta.select(*schema.names), ROLLUP_KEYS).write.parquet(delta_path)
+    delta = spark.read.schema(schema).parquet(delta_path)
     touched = delta.select(*ROLLUP_KEYS).distinct()
     merged = delta
     if not applied.isEmpty():

@@ -188,6 +188,16 @@ def test_a_load_lost_between_two_directories_is_finished(spark, tmp_path, monkey
     assert held(spark, root) == expected(*changed)
 
 
+def test_loads_have_many_partitions_that_the_session_does_not_keep(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(
+        incremental, "finish", lambda spark, *_: seen.append(spark.conf.get(incremental.PARTITIONS_CONF))
+    )
+    load(flights(spark, A), str(tmp_path / "table"))
+    assert int(seen[0]) >= incremental.PARTITIONS
+    assert spark.conf.get(incremental.PARTITIONS_CONF, None) is None
+
+
 def test_a_load_lost_while_staging_is_forgotten(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "table")
     load(flights(spark, A), root)
