@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,10 +38,11 @@ def marked_words(text: Column) -> Column:
     A capital inside a sentence begins a name (mark n), any other one a word that may be
     a name (o), digits make a number (d), and the words listed above numbers and units.
     """
-    name = r"(?<=[^\s.!?:;][ \t])(\p{Lu}[\p{L}'-]*)"
-    opening = r"(?<![\p{L}\p{N}'-])(\p{Lu}[\p{L}'-]*)"
-    number = r"(?<![\p{L}\p{N}])(\p{N}+(?:[.,]\p{N}+)*)(?![\p{L}\p{N}])"
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), "§", " ")
+    # The first letter is looked at before what stands in front of it: most have none.
+    name = r"(?=\p{Lu})(?<=[^\s.!?:;][ \t])([\p{L}'-]+)"
+    opening = r"(?=\p{Lu})(?<![\p{L}\p{N}'-])([\p{L}'-]+)"
+    number = r"(?=\p{N})(?<![\p{L}\p{N}])(\p{N}+(?:[.,]\p{N}+)*)(?![\p{L}\p{N}])"
+    text = F.replace(F.coalesce(text, F.lit("")), F.lit("§"), F.lit(" "))
     text = F.regexp_replace(F.regexp_replace(text, name, "§n$1"), opening, "§o$1")
     text = F.regexp_replace(F.lower(text), number, "§d$1")
     return F.array_remove(F.split(text, r"[^\p{L}\p{N}§]+"), "")
@@ -65,7 +68,7 @@ def _names(words: Column) -> Column:
         )
         return F.array_except(F.transform(again, _bare), words)
 
-    return F.array_union(inner, let(F.array_sort(_starting(words, "§o")), repeated))
+    return F.array_union(inner, let(F.sort_array(_starting(words, "§o")), repeated))
 
 
 def words_of(text: Column) -> Column:
@@ -99,42 +102,45 @@ def plain(word: Column) -> Column:
     return canonical(F.when(F.startswith(word, F.lit("§n")), _bare(word)).otherwise(word))
 
 
+def _name_hash(word: Column) -> Column:
+    """The hash of a name as ``plain`` has it; null for other words."""
+    return F.when(F.startswith(word, F.lit("§n")), F.xxhash64(plain(word)))
+
+
 def value(word: Column) -> Column:
     """A marked word without its mark."""
     return F.regexp_replace(word, "^§[nd]", "")
 
 
-def windows(words: str, canon: str, bare: str) -> Column:
-    """(pos, window, named): hashes of the template windows and, where one has a name, of
-    the same words with the name kept in lower case; none for fewer words than one."""
-
-    def hashed(places: Column, source: str, named: bool) -> Column:
-        # Words are hashed once, windows from the hashes of their words.
-        return let(
-            F.transform(source, lambda w: F.xxhash64(w)),
-            lambda own: F.transform(
-                places,
-                lambda k: F.struct(
-                    k.alias("pos"),
-                    F.xxhash64(*(F.get(own, k + j) for j in range(WINDOW_WORDS))).alias("window"),
-                    F.lit(named).alias("named"),
-                ),
-            ),
-        )
+def windows(texts: DataFrame) -> DataFrame:
+    """``texts`` with (pos, window, named), a row for each template window of ``words``, in
+    place of these, and where the window has a name, one more for the same words with the
+    name kept in lower case; none for fewer words than one. Windows are hashes.
 
-    places = F.sequence(F.lit(0), F.size(words) - WINDOW_WORDS)
-    with_name = F.filter(
-        places, lambda k: F.array_contains(F.slice(canon, k + 1, WINDOW_WORDS), "§n")
-    )
-    none = F.array().cast("array<struct<pos:int,window:bigint,named:boolean>>")
-    return F.when(
-        F.size(words) >= WINDOW_WORDS,
-        F.concat(
-            hashed(places, canon, False),
-            F.when(
-                F.array_contains(canon, "§n"), hashed(with_name, bare, True)
-            ).otherwise(none),
-        ),
+    Words are hashed once, in arrays. Windows are made from rows of a place each, as
+    compiled code does: functions of arrays take several times as long for every place.
+    """
+    carried = [name for name in texts.columns if name != "words"]
+    places = F.sequence(F.lit(0), F.size("template") - WINDOW_WORDS)
+    own = [F.get("template", F.col("pos") + k) for k in range(WINDOW_WORDS)]
+    names = [F.get("names", F.col("pos") + k) for k in range(WINDOW_WORDS)]
+    bare = F.xxhash64(*(F.coalesce(n, w) for n, w in zip(names, own)))
+    return (
+        texts.select(
+            *carried,
+            F.transform("words", lambda w: F.xxhash64(canonical(w))).alias("template"),
+            F.transform("words", _name_hash).alias("names"),
+        )
+        .select("*", F.explode(F.when(F.size("template") >= WINDOW_WORDS, places)).alias("pos"))
+        .select(
+            *carried,
+            "pos",
+            F.posexplode(
+                F.array(F.xxhash64(*own), F.when(F.coalesce(*names).isNotNull(), bare))
+            ).alias("named", "window"),
+        )
+        .filter(F.col("window").isNotNull())
+        .withColumn("named", F.col("named") == 1)
     )
 
 
@@ -162,28 +168,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = (
         benchmark.select("item_id", words_of(F.col("text")).alias("words"))
         .filter(F.size("words") >= WINDOW_WORDS)
-        .withColumn("canon", F.transform("words", canonical))
-        .withColumn("bare", F.transform("words", plain))
         .distinct()
     )
 
-    def literal(words: str) -> Column:
+    def literal(word: Callable[[Column], Column]) -> Column:
         return F.size(
             F.filter(
-                F.slice(words, F.col("place.pos") + 1, WINDOW_WORDS),
+                F.transform(F.slice("words", F.col("pos") + 1, WINDOW_WORDS), word),
                 lambda w: ~F.startswith(w, F.lit("§")),
             )
         )
 
-    strong = literal("canon") >= LEAST_LITERAL
+    strong = literal(canonical) >= LEAST_LITERAL
     item_windows = (
-        items.select(
-            "item_id", "canon", "bare", F.explode(windows("words", "canon", "bare")).alias("place")
-        )
-        .filter(F.when(F.col("place.named"), literal("bare") >= LEAST_LITERAL).otherwise(strong))
-        .select(
-            "item_id", F.col("place.pos").alias("at"), "place.window", strong.alias("strong")
-        )
+        windows(items.withColumn("asked", F.col("words")))
+        .withColumnRenamed("asked", "words")
+        .filter(F.when(F.col("named"), literal(plain) >= LEAST_LITERAL).otherwise(strong))
+        .select("item_id", F.col("pos").alias("at"), "window", strong.alias("strong"))
     )
     strong_at = F.when(F.col("strong"), F.col("at"))
     sizes = item_windows.groupBy("item_id").agg(
@@ -191,16 +192,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     matches = (
-        keyed.select("key", "doc_id", words_of(F.col("text")).alias("words"))
-        .select(
-            "key",
-            "doc_id",
-            "words",
-            F.transform("words", canonical).alias("canon"),
-            F.transform("words", plain).alias("bare"),
-        )
-        .select("key", "doc_id", F.explode(windows("words", "canon", "bare")).alias("place"))
-        .select("key", "doc_id", "place.pos", "place.window")
+        windows(keyed.select("key", "doc_id", words_of(F.col("text")).alias("words")))
+        .select("key", "doc_id", "pos", "window")
         .join(item_windows, "window")
         .withColumn("diagonal", F.col("pos") - F.col("at"))
         .groupBy("key", "doc_id", "item_id", "diagonal")
