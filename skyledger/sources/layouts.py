@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,18 @@ YEAR_ONLY = ("year",)
 # size is read by several tasks.
 ROWS_PER_FILE = 1_000_000
 
+# A cap below this makes small files, which cost more to open than their rows to write. Their
+# tasks make about so many files each, so that no task keeps the other cores waiting; rows
+# count as so many bytes of a shuffle, wider ones make fewer files.
+SMALL_CAP = 10_000
+FILES_PER_TASK = 250
+BYTES_PER_ROW = 16
+
+# Spark's own settings: the bytes adaptive execution merges tasks to, and the least it merges
+# them to where there are cores for more.
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+LEAST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
 # Directories a table may have before carriers share them: a directory costs a file, a
 # rename and a place in the driver's listing, whatever it holds. Those of shared ones hold
 # about so many rows, as the published files do.
@@ -28,6 +41,22 @@ ROWS_PER_DIRECTORY = 100_000
 CARRIERS = "carrier_group"
 
 
+@contextmanager
+def _tasks_of_files(spark: SparkSession, max_records_per_file: int) -> Iterator[None]:
+    """Until left, adaptive execution merges tasks to ``FILES_PER_TASK`` files of so many
+    rows at most."""
+    before = {name: spark.conf.get(name) for name in (ADVISORY, LEAST)}
+    size_of = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    wanted = max_records_per_file * FILES_PER_TASK * BYTES_PER_ROW
+    try:
+        for name, size in before.items():
+            spark.conf.set(name, min(size_of(size), wanted))
+        yield
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -42,10 +71,17 @@ def write_partitioned(
 
     ``rebalance`` brings the rows of a directory together and lets adaptive execution
     split a directory that is too large for one task and merge those that are small.
+    Under a cap of less than ``SMALL_CAP`` rows they are dealt in ranges instead, as a
+    directory then is work for many tasks however few bytes it has, and may have come from
+    one task, which ``rebalance`` does not split.
     ``replace`` writes into a table that exists: the directories of which ``df`` has rows
     are replaced, the others stay.
     """
-    rows = df.hint("rebalance", *(F.col(key) for key in keys))
+    small = max_records_per_file is not None and 0 < max_records_per_file < SMALL_CAP
+    if small:
+        rows = df.repartitionByRange(*keys, *sort_within, F.xxhash64(*df.columns))
+    else:
+        rows = df.hint("rebalance", *(F.col(key) for key in keys))
     if sort_within:
         rows = rows.sortWithinPartitions(*keys, *sort_within)
     writer = rows.write.partitionBy(*keys).format(fmt)
@@ -55,7 +91,9 @@ def write_partitioned(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if replace:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    tasks = _tasks_of_files(df.sparkSession, max_records_per_file) if small else nullcontext()
+    with tasks:
+        writer.save(path)
 
 
 def read_partitioned(
